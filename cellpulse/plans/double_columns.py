@@ -25,12 +25,28 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'mart_cell_health_summary': ['last_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max', 'predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'early_warning_probability'],
     'mart_escalation_queue': ['failure_probability', 'early_warning_probability', 'predicted_soh', 'predicted_remaining_cycles', 'last_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max'],
     'mart_factory_quality': ['avg_final_soh', 'avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'escalation_rate', 'early_degradation_rate', 'thermal_anomaly_rate', 'impedance_spike_rate'],
+    'parse_raw_log': ['voltage', 'current', 'temperature'],
+    'qc_cell_missing_features': [],
+    'qc_duplicate_cell_cycle': [],
+    'qc_escalation_missing_prediction': [],
+    'qc_feature_without_cell': [],
+    'qc_negative_resistance': [],
+    'qc_null_discharge_capacity': [],
+    'qc_orphan_cycle_cells': [],
+    'qc_prediction_without_cell': [],
+    'qc_soh_out_of_range': [],
+    'qc_usage_without_cell': [],
+    'quality_report': [],
+    'quality_report_landing': [],
+    'raw_log_health': [],
+    'raw_log_reasons': [],
     'recent_cycle_window': ['start_soh', 'end_soh', 'soh_change', 'max_rolling_temperature'],
     'remaining_cycles': ['remaining_cycles'],
     'rolling_10': ['rolling_capacity_mean_10', 'rolling_temperature_max_10', 'rolling_resistance_mean_10'],
     'scan_factory': ['test_temperature', 'charge_current', 'discharge_current'],
     'scan_failure_events': [],
     'scan_landing_cycles': ['voltage_mean', 'voltage_min', 'voltage_max', 'current_mean', 'temperature_mean', 'temperature_max', 'discharge_capacity_ah', 'charge_capacity_ah', 'internal_resistance_mohm', 'energy_wh'],
+    'scan_raw_log': [],
     'scan_usage': ['avg_depth_of_discharge', 'fast_charge_ratio', 'avg_daily_cycles', 'high_temp_exposure_hours', 'low_temp_exposure_hours'],
     'score_cells': ['predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'early_warning_probability'],
     'severity_score': ['severity_score'],

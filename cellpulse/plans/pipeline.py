@@ -150,3 +150,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     if key not in _CACHE:
         _CACHE[key] = Pipeline(spark, sf_dir)
     return _CACHE[key]
+
+
+def warehouse_tables(p: Pipeline, landing: bool = False) -> dict:
+    """The star schema as a name -> DataFrame map.  With ``landing`` the cycle
+    fact is the raw landed rows (what the quality gate must catch)."""
+    return {
+        "dim_cell": p.dim_cell,
+        "fact_cycle_measurements": p.landing_cycles if landing else p.fact_cycle_measurements,
+        "fact_usage_profile": p.usage,
+        "fact_failure_events": p.failure_events,
+        "fact_model_predictions": p.predictions,
+        "stg_cell_features": p.cell_features,
+    }
