@@ -31,3 +31,27 @@ def fleet_percentile(health: DataFrame, values: list[str], outs: list[str]) -> D
     for v, o in zip(values, outs):
         out = cume_dist_column(out, v, o)
     return out.select("cell_id", *outs)
+
+
+def weighted_rate(rate: str, weight: str = "num_cells"):
+    """sum(rate x weight) / sum(weight).  The products are summed as exact
+    decimals, so the result does not depend on the summation order."""
+    num = F.sum(F.col(rate).cast("decimal(38,12)") * F.col(weight)).cast("double")
+    return num / F.sum(F.col(weight)).cast("double")
+
+
+def top_k(df: DataFrame, order: list, k: int) -> DataFrame:
+    """Top-k rows by ``order`` (a total order: callers end it with a key column)."""
+    return df.orderBy(*order).limit(k)
+
+
+def per_group_tail(df: DataFrame, group: list[str], order_col: str, k: int) -> DataFrame:
+    """Last ``k`` rows of each group by ``order_col``.  The rank filter is pushed
+    below the shuffle (partial per-group limit) by Spark's window group limit."""
+    w = Window.partitionBy(*group).orderBy(F.col(order_col).desc())
+    return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
+
+
+def correlation(x, y):
+    """Sample correlation guarded against zero variance (null instead of an error)."""
+    return F.try_divide(F.covar_samp(x, y), F.nullif(F.stddev_samp(x) * F.stddev_samp(y), F.lit(0.0)))

@@ -1,31 +1,64 @@
 """Floating output columns per query (generated by tools/check_oracle.py --write-doubles)."""
 DOUBLE_COLUMNS: dict[str, list[str]] = {
+    'adhoc_fleet_snapshot': ['avg_predicted_soh', 'avg_remaining_cycles'],
+    'adhoc_lot_risk': ['escalation_rate', 'early_degradation_rate', 'avg_final_soh'],
+    'adhoc_station_anomaly': ['thermal_anomaly_rate', 'impedance_spike_rate', 'escalation_rate'],
+    'adhoc_thermal_band': ['avg_capacity_fade_rate', 'avg_final_soh', 'thermal_anomaly_rate'],
+    'adhoc_urgent_cells': ['failure_probability', 'predicted_soh', 'predicted_remaining_cycles'],
+    'adhoc_usage_drivers': ['avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'avg_last_soh', 'avg_failure_probability'],
+    'anomaly_mix_by_lot': ['rate'],
     'batch_failure_rate': ['batch_failure_rate'],
+    'case_study_cell': ['failure_probability', 'lot_mean_escalation', 'station_mean_escalation', 'lot_station_escalation'],
+    'cell_event_lookup': [],
     'cell_features': ['final_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max', 'mean_temperature_max', 'fast_charge_ratio', 'avg_depth_of_discharge', 'high_temp_exposure_hours', 'low_temp_exposure_hours', 'batch_failure_rate', 'station_anomaly_rate'],
+    'cell_trajectory_50': ['discharge_capacity_ah', 'internal_resistance_mohm', 'temperature_max'],
     'class_balance': [],
     'clean_cycles': ['voltage_mean', 'voltage_min', 'voltage_max', 'current_mean', 'temperature_mean', 'temperature_max', 'discharge_capacity_ah', 'charge_capacity_ah', 'internal_resistance_mohm', 'energy_wh'],
     'clean_cycles_removed': [],
+    'coalesce_tier': [],
     'cycle_features': ['soh_current', 'capacity_fade_rate', 'resistance_growth_rate', 'rolling_capacity_mean_10', 'rolling_temperature_max_10', 'rolling_resistance_mean_10', 'soh_delta_last_20_cycles', 'fast_charge_ratio', 'avg_depth_of_discharge', 'high_temp_exposure_hours', 'batch_failure_rate', 'station_anomaly_rate', 'remaining_cycles'],
+    'dashboard_kpis': ['pct_high_critical', 'mean_predicted_soh'],
     'derive_failure_events': [],
     'dim_cell': [],
     'dim_lot': [],
     'dim_station': [],
     'dim_test_condition': ['test_temperature', 'charge_current', 'discharge_current'],
+    'driver_mix_flagged': [],
     'early_warning_features': ['soh_at_cycle_20', 'soh_at_cycle_50', 'capacity_fade_rate_50', 'resistance_growth_rate_50', 'resistance_mean_50', 'temperature_mean_50', 'temperature_max_50', 'voltage_min_50', 'test_temperature', 'charge_current', 'discharge_current', 'station_anomaly_rate'],
+    'escalation_report': ['failure_probability', 'early_warning_probability', 'predicted_soh', 'predicted_remaining_cycles'],
     'escalation_required': [],
     'event_date': [],
+    'event_rates': ['capacity_drop_rate', 'impedance_spike_rate', 'thermal_anomaly_rate', 'early_degradation_rate'],
     'event_type': [],
+    'export_lots_highest_risk': ['escalation_rate'],
+    'export_stations_abnormal': ['thermal_anomaly_rate'],
+    'export_urgent_escalations': ['failure_probability'],
+    'exposure_band': [],
+    'extract_escalation_queue': ['failure_probability', 'early_warning_probability', 'predicted_soh', 'predicted_remaining_cycles', 'last_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max'],
+    'extract_executive_health': ['last_soh', 'predicted_soh', 'predicted_remaining_cycles', 'failure_probability'],
+    'extract_lot_quality': ['avg_final_soh', 'avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'escalation_rate', 'early_degradation_rate', 'thermal_anomaly_rate', 'impedance_spike_rate'],
+    'extract_root_cause': ['avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'avg_failure_probability'],
     'fact_cycle_measurements': ['voltage_mean', 'voltage_min', 'voltage_max', 'current_mean', 'temperature_mean', 'temperature_max', 'discharge_capacity_ah', 'charge_capacity_ah', 'internal_resistance_mohm', 'energy_wh'],
     'fade_and_growth': ['capacity_fade_rate', 'resistance_growth_rate'],
+    'feature_profile': ['mean', 'std', 'min', 'max', 'p25', 'p50', 'p75'],
+    'feature_soh_correlation': ['r'],
     'fleet_percentile': ['last_soh_pct', 'fade_pct', 'growth_pct', 'failure_probability_pct'],
+    'in_predicate': [],
     'initial_capacity': ['initial_capacity_ah', 'initial_resistance_mohm'],
+    'jmp_cell_table': ['last_soh', 'predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max'],
     'latest_snapshot': ['soh_current', 'capacity_fade_rate', 'resistance_growth_rate', 'rolling_capacity_mean_10', 'rolling_temperature_max_10', 'rolling_resistance_mean_10', 'soh_delta_last_20_cycles', 'fast_charge_ratio', 'avg_depth_of_discharge', 'high_temp_exposure_hours', 'batch_failure_rate', 'station_anomaly_rate', 'remaining_cycles'],
     'leave_one_out_rate': ['batch_failure_rate', 'station_anomaly_rate'],
+    'likely_root_cause': [],
+    'lot_escalation_mean': ['escalation_rate'],
     'lot_station_final_soh': ['avg_final_soh'],
+    'lot_station_heatmap': ['ST-01', 'ST-02', 'ST-03', 'ST-04', 'ST-05', 'ST-06', 'ST-07', 'ST-08'],
     'mart_cell_health_summary': ['last_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max', 'predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'early_warning_probability'],
     'mart_escalation_queue': ['failure_probability', 'early_warning_probability', 'predicted_soh', 'predicted_remaining_cycles', 'last_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max'],
     'mart_factory_quality': ['avg_final_soh', 'avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'escalation_rate', 'early_degradation_rate', 'thermal_anomaly_rate', 'impedance_spike_rate'],
+    'multi_key_sort': ['failure_probability', 'predicted_remaining_cycles'],
     'parse_raw_log': ['voltage', 'current', 'temperature'],
+    'peer_batch_average': ['batch_avg_soh', 'batch_avg_fade', 'batch_avg_res', 'batch_avg_fp'],
+    'peer_signature': [],
     'qc_cell_missing_features': [],
     'qc_duplicate_cell_cycle': [],
     'qc_escalation_missing_prediction': [],
@@ -38,10 +71,15 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'qc_usage_without_cell': [],
     'quality_report': [],
     'quality_report_landing': [],
+    'queue_by_tier': [],
+    'queue_top_lots': [],
     'raw_log_health': [],
     'raw_log_reasons': [],
     'recent_cycle_window': ['start_soh', 'end_soh', 'soh_change', 'max_rolling_temperature'],
+    'recommended_follow_up': [],
     'remaining_cycles': ['remaining_cycles'],
+    'risk_by_usage': [],
+    'risk_tier': [],
     'rolling_10': ['rolling_capacity_mean_10', 'rolling_temperature_max_10', 'rolling_resistance_mean_10'],
     'scan_factory': ['test_temperature', 'charge_current', 'discharge_current'],
     'scan_failure_events': [],
@@ -49,7 +87,9 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'scan_raw_log': [],
     'scan_usage': ['avg_depth_of_discharge', 'fast_charge_ratio', 'avg_daily_cycles', 'high_temp_exposure_hours', 'low_temp_exposure_hours'],
     'score_cells': ['predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'early_warning_probability'],
+    'severity_counts': [],
     'severity_score': ['severity_score'],
+    'soh_box_by_usage': ['min', 'q1', 'median', 'q3', 'max'],
     'soh_current': ['soh_current'],
     'soh_delta_20': ['soh_delta_last_20_cycles'],
     'station_anomaly_rate': ['station_anomaly_rate'],

@@ -356,4 +356,6 @@ ALL_CTES = SOURCES + SERIES + FEATURES + MARTS
 def with_ctes(select_sql: str) -> str:
     """Prefix a final SELECT with every pipeline CTE (unused ones are never run)."""
     body = ALL_CTES.strip().rstrip(",")
+    if select_sql.lstrip().upper().startswith("WITH"):
+        select_sql = f"SELECT * FROM ({select_sql}) AS inner_q"
     return f"WITH {body}\n{select_sql}"
