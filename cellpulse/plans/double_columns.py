@@ -7,15 +7,21 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'adhoc_urgent_cells': ['failure_probability', 'predicted_soh', 'predicted_remaining_cycles'],
     'adhoc_usage_drivers': ['avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'avg_last_soh', 'avg_failure_probability'],
     'anomaly_mix_by_lot': ['rate'],
+    'backtest_baseline_metrics': ['precision', 'recall', 'f1', 'roc_auc'],
     'batch_failure_rate': ['batch_failure_rate'],
+    'best_threshold': ['threshold', 'cost'],
+    'calibration_table': ['mean_predicted_probability', 'observed_escalation_rate'],
     'case_study_cell': ['failure_probability', 'lot_mean_escalation', 'station_mean_escalation', 'lot_station_escalation'],
     'cell_event_lookup': [],
     'cell_features': ['final_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max', 'mean_temperature_max', 'fast_charge_ratio', 'avg_depth_of_discharge', 'high_temp_exposure_hours', 'low_temp_exposure_hours', 'batch_failure_rate', 'station_anomaly_rate'],
     'cell_trajectory_50': ['discharge_capacity_ah', 'internal_resistance_mohm', 'temperature_max'],
     'class_balance': [],
+    'classification_metrics': ['precision', 'recall', 'f1', 'roc_auc'],
     'clean_cycles': ['voltage_mean', 'voltage_min', 'voltage_max', 'current_mean', 'temperature_mean', 'temperature_max', 'discharge_capacity_ah', 'charge_capacity_ah', 'internal_resistance_mohm', 'energy_wh'],
     'clean_cycles_removed': [],
     'coalesce_tier': [],
+    'cohort_split': [],
+    'concordance_index': ['concordance_index'],
     'cycle_features': ['soh_current', 'capacity_fade_rate', 'resistance_growth_rate', 'rolling_capacity_mean_10', 'rolling_temperature_max_10', 'rolling_resistance_mean_10', 'soh_delta_last_20_cycles', 'fast_charge_ratio', 'avg_depth_of_discharge', 'high_temp_exposure_hours', 'batch_failure_rate', 'station_anomaly_rate', 'remaining_cycles'],
     'dashboard_kpis': ['pct_high_critical', 'mean_predicted_soh'],
     'derive_failure_events': [],
@@ -23,13 +29,18 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'dim_lot': [],
     'dim_station': [],
     'dim_test_condition': ['test_temperature', 'charge_current', 'discharge_current'],
+    'drift_table': ['reference_mean', 'current_mean', 'delta', 'psi'],
+    'drift_worst_5': ['psi'],
     'driver_mix_flagged': [],
+    'driver_mix_top8': [],
     'early_warning_features': ['soh_at_cycle_20', 'soh_at_cycle_50', 'capacity_fade_rate_50', 'resistance_growth_rate_50', 'resistance_mean_50', 'temperature_mean_50', 'temperature_max_50', 'voltage_min_50', 'test_temperature', 'charge_current', 'discharge_current', 'station_anomaly_rate'],
     'escalation_report': ['failure_probability', 'early_warning_probability', 'predicted_soh', 'predicted_remaining_cycles'],
     'escalation_required': [],
     'event_date': [],
+    'event_mae_baseline': ['baseline_event_mae'],
     'event_rates': ['capacity_drop_rate', 'impedance_spike_rate', 'thermal_anomaly_rate', 'early_degradation_rate'],
     'event_type': [],
+    'expand_intervals': ['log_interval_end'],
     'export_lots_highest_risk': ['escalation_rate'],
     'export_stations_abnormal': ['thermal_anomaly_rate'],
     'export_urgent_escalations': ['failure_probability'],
@@ -40,9 +51,11 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'extract_root_cause': ['avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'avg_failure_probability'],
     'fact_cycle_measurements': ['voltage_mean', 'voltage_min', 'voltage_max', 'current_mean', 'temperature_mean', 'temperature_max', 'discharge_capacity_ah', 'charge_capacity_ah', 'internal_resistance_mohm', 'energy_wh'],
     'fade_and_growth': ['capacity_fade_rate', 'resistance_growth_rate'],
+    'failure_baseline': ['failure_probability'],
     'feature_profile': ['mean', 'std', 'min', 'max', 'p25', 'p50', 'p75'],
     'feature_soh_correlation': ['r'],
     'fleet_percentile': ['last_soh_pct', 'fade_pct', 'growth_pct', 'failure_probability_pct'],
+    'holdout_by_group': ['event_rate', 'mean_probability', 'mean_abs_error'],
     'in_predicate': [],
     'initial_capacity': ['initial_capacity_ah', 'initial_resistance_mohm'],
     'jmp_cell_table': ['last_soh', 'predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max'],
@@ -59,6 +72,8 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'parse_raw_log': ['voltage', 'current', 'temperature'],
     'peer_batch_average': ['batch_avg_soh', 'batch_avg_fade', 'batch_avg_res', 'batch_avg_fp'],
     'peer_signature': [],
+    'psi': ['psi'],
+    'psi_status': [],
     'qc_cell_missing_features': [],
     'qc_duplicate_cell_cycle': [],
     'qc_escalation_missing_prediction': [],
@@ -77,10 +92,16 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'raw_log_reasons': [],
     'recent_cycle_window': ['start_soh', 'end_soh', 'soh_change', 'max_rolling_temperature'],
     'recommended_follow_up': [],
+    'release_cutoff': [],
+    'release_decision': [],
+    'release_split': [],
     'remaining_cycles': ['remaining_cycles'],
     'risk_by_usage': [],
+    'risk_mix': [],
     'risk_tier': [],
+    'roc_auc': ['roc_auc'],
     'rolling_10': ['rolling_capacity_mean_10', 'rolling_temperature_max_10', 'rolling_resistance_mean_10'],
+    'rul_baseline_metrics': ['mae', 'rmse', 'r2'],
     'scan_factory': ['test_temperature', 'charge_current', 'discharge_current'],
     'scan_failure_events': [],
     'scan_landing_cycles': ['voltage_mean', 'voltage_min', 'voltage_max', 'current_mean', 'temperature_mean', 'temperature_max', 'discharge_capacity_ah', 'charge_capacity_ah', 'internal_resistance_mohm', 'energy_wh'],
@@ -89,9 +110,12 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'score_cells': ['predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'early_warning_probability'],
     'severity_counts': [],
     'severity_score': ['severity_score'],
+    'soh_baseline_metrics': ['mae', 'rmse', 'r2'],
     'soh_box_by_usage': ['min', 'q1', 'median', 'q3', 'max'],
     'soh_current': ['soh_current'],
     'soh_delta_20': ['soh_delta_last_20_cycles'],
     'station_anomaly_rate': ['station_anomaly_rate'],
     'survival_frame': [],
+    'survival_top_10': ['event_risk'],
+    'threshold_table': ['threshold', 'precision', 'recall', 'cost'],
 }
