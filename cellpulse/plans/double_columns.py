@@ -9,6 +9,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'anomaly_mix_by_lot': ['rate'],
     'backtest_baseline_metrics': ['precision', 'recall', 'f1', 'roc_auc'],
     'batch_failure_rate': ['batch_failure_rate'],
+    'battery_rollup': ['initial_capacity_ah', 'final_capacity_ah', 'capacity_loss_pct', 'capacity_cycle_corr', 'mean_discharge_temp_c', 'max_discharge_temp_c', 'max_charge_temp_c'],
     'best_threshold': ['threshold', 'cost'],
     'calibration_table': ['mean_predicted_probability', 'observed_escalation_rate'],
     'case_study_cell': ['failure_probability', 'lot_mean_escalation', 'station_mean_escalation', 'lot_station_escalation'],
@@ -22,6 +23,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'coalesce_tier': [],
     'cohort_split': [],
     'concordance_index': ['concordance_index'],
+    'coverage_snapshot': [],
     'cycle_features': ['soh_current', 'capacity_fade_rate', 'resistance_growth_rate', 'rolling_capacity_mean_10', 'rolling_temperature_max_10', 'rolling_resistance_mean_10', 'soh_delta_last_20_cycles', 'fast_charge_ratio', 'avg_depth_of_discharge', 'high_temp_exposure_hours', 'batch_failure_rate', 'station_anomaly_rate', 'remaining_cycles'],
     'dashboard_kpis': ['pct_high_critical', 'mean_predicted_soh'],
     'derive_failure_events': [],
@@ -29,6 +31,8 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'dim_lot': [],
     'dim_station': [],
     'dim_test_condition': ['test_temperature', 'charge_current', 'discharge_current'],
+    'discharge_index': [],
+    'discharge_remaining': [],
     'drift_table': ['reference_mean', 'current_mean', 'delta', 'psi'],
     'drift_worst_5': ['psi'],
     'driver_mix_flagged': [],
@@ -59,6 +63,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'in_predicate': [],
     'initial_capacity': ['initial_capacity_ah', 'initial_resistance_mohm'],
     'jmp_cell_table': ['last_soh', 'predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max'],
+    'last_charge_temp': ['last_charge_temp'],
     'latest_snapshot': ['soh_current', 'capacity_fade_rate', 'resistance_growth_rate', 'rolling_capacity_mean_10', 'rolling_temperature_max_10', 'rolling_resistance_mean_10', 'soh_delta_last_20_cycles', 'fast_charge_ratio', 'avg_depth_of_discharge', 'high_temp_exposure_hours', 'batch_failure_rate', 'station_anomaly_rate', 'remaining_cycles'],
     'leave_one_out_rate': ['batch_failure_rate', 'station_anomaly_rate'],
     'likely_root_cause': [],
@@ -69,6 +74,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'mart_escalation_queue': ['failure_probability', 'early_warning_probability', 'predicted_soh', 'predicted_remaining_cycles', 'last_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max'],
     'mart_factory_quality': ['avg_final_soh', 'avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'escalation_rate', 'early_degradation_rate', 'thermal_anomaly_rate', 'impedance_spike_rate'],
     'multi_key_sort': ['failure_probability', 'predicted_remaining_cycles'],
+    'normalise_public_cycles': ['capacity_ah', 'soh', 'max_discharge_temp_c', 'max_charge_temp_c', 'discharge_temp_slope', 'voltage_slope'],
     'parse_raw_log': ['voltage', 'current', 'temperature'],
     'peer_batch_average': ['batch_avg_soh', 'batch_avg_fade', 'batch_avg_res', 'batch_avg_fp'],
     'peer_signature': [],
@@ -110,12 +116,16 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'score_cells': ['predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'early_warning_probability'],
     'severity_counts': [],
     'severity_score': ['severity_score'],
+    'signal_summary': ['max_temp_c', 'mean_temp_c', 'min_voltage_v', 'max_voltage_v', 'temp_slope', 'voltage_slope'],
     'soh_baseline_metrics': ['mae', 'rmse', 'r2'],
     'soh_box_by_usage': ['min', 'q1', 'median', 'q3', 'max'],
     'soh_current': ['soh_current'],
     'soh_delta_20': ['soh_delta_last_20_cycles'],
+    'soh_vs_first': ['soh'],
     'station_anomaly_rate': ['station_anomaly_rate'],
     'survival_frame': [],
     'survival_top_10': ['event_risk'],
+    'temperature_summary': ['max_discharge_temp_c', 'max_charge_temp_c'],
     'threshold_table': ['threshold', 'precision', 'recall', 'cost'],
+    'validation_note': [],
 }
