@@ -43,9 +43,9 @@ def release_cutoff(split: DataFrame, date_col: str) -> DataFrame:
 # ---- metrics ----------------------------------------------------------------
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
     e = F.col(yhat) - F.col(y)
-    ybar = df.select(F.avg(y)).scalar()
+    sst = F.var_pop(y) * F.count(y)
     return df.agg(F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                  (F.lit(1.0) - F.sum(e * e) / F.nullif(F.sum((F.col(y) - ybar) ** 2), F.lit(0.0))).alias("r2"))
+                  (F.lit(1.0) - F.sum(e * e) / F.nullif(sst, F.lit(0.0))).alias("r2"))
 
 
 def _below_sums(df: DataFrame, value: str, weight_cols: list[str]) -> DataFrame:

@@ -127,5 +127,6 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'survival_top_10': ['event_risk'],
     'temperature_summary': ['max_discharge_temp_c', 'max_charge_temp_c'],
     'threshold_table': ['threshold', 'precision', 'recall', 'cost'],
+    'train_soh': ['mae', 'rmse', 'r2'],
     'validation_note': [],
 }

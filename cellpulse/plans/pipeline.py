@@ -36,7 +36,9 @@ class Pipeline:
 
     @cached_property
     def landing_cycles(self) -> DataFrame:
-        return bridge.landing_cycles(self.spark, self.sf_dir)
+        # The landed cycle table is a stored table in production; the fixture
+        # projection is materialised once (reliable checkpoint) the same way.
+        return cut_lineage(bridge.landing_cycles(self.spark, self.sf_dir))
 
     # ---- cleaning + series --------------------------------------------
     @cached_property

@@ -137,3 +137,18 @@ def test_roc_auc_with_ties(spark):
     df = spark.createDataFrame(list(zip(y, p)), "y int, p double")
     assert ev.roc_auc(df, "y", "p").first().roc_auc == pytest.approx(exp)
     assert not math.isnan(exp)
+
+
+def test_stream_parse_equals_batch(spark, tmp_path):
+    from cellpulse.plans.pipeline import Pipeline
+    from cellpulse.streaming.telemetry import run_available_now, stream_parse_log
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    lines = rawlog.render_raw_log(p.landing_cycles, p.factory)
+    src = str(tmp_path / "logs")
+    lines.coalesce(2).write.mode("overwrite").text(src)
+    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
+    run_available_now(stream_parse_log(spark, src), out, ckpt)
+    streamed = spark.read.parquet(out)
+    batch = rawlog.parse_raw_log(spark.read.text(src))
+    assert streamed.count() == batch.count() > 0
+    assert streamed.exceptAll(batch).count() == 0
