@@ -292,15 +292,21 @@ def case_study_cell(p):
 
 # ---- investigation queries ------------------------------------------------
 @register("peer_batch_average", """
-SELECT cell_id, batch_id, avg(last_soh) OVER b AS batch_avg_soh, avg(capacity_fade_rate) OVER b AS batch_avg_fade,
-  avg(resistance_growth_rate) OVER b AS batch_avg_res, avg(failure_probability) OVER b AS batch_avg_fp
+SELECT cell_id, batch_id,
+  CAST(sum(CAST(last_soh AS DECIMAL(38,12))) OVER b AS DOUBLE) / count(last_soh) OVER b AS batch_avg_soh,
+  CAST(sum(CAST(capacity_fade_rate AS DECIMAL(38,12))) OVER b AS DOUBLE) / count(capacity_fade_rate) OVER b AS batch_avg_fade,
+  CAST(sum(CAST(resistance_growth_rate AS DECIMAL(38,12))) OVER b AS DOUBLE) / count(resistance_growth_rate) OVER b AS batch_avg_res,
+  CAST(sum(CAST(failure_probability AS DECIMAL(38,12))) OVER b AS DOUBLE) / count(failure_probability) OVER b AS batch_avg_fp
 FROM health WINDOW b AS (PARTITION BY batch_id)""")
 def peer_batch_average(p):
     h = p.health
-    g = h.groupBy("batch_id").agg(F.avg("last_soh").alias("batch_avg_soh"),
-                                  F.avg("capacity_fade_rate").alias("batch_avg_fade"),
-                                  F.avg("resistance_growth_rate").alias("batch_avg_res"),
-                                  F.avg("failure_probability").alias("batch_avg_fp"))
+    # The inputs are already rounded, so sum them as exact decimals (order-independent).
+    def mean(c):
+        return F.sum(F.col(c).cast("decimal(38,12)")).cast("double") / F.count(c)
+    g = h.groupBy("batch_id").agg(mean("last_soh").alias("batch_avg_soh"),
+                                  mean("capacity_fade_rate").alias("batch_avg_fade"),
+                                  mean("resistance_growth_rate").alias("batch_avg_res"),
+                                  mean("failure_probability").alias("batch_avg_fp"))
     return h.select("cell_id", "batch_id").join(g, "batch_id")
 
 
