@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, line_dedup, sharding
+from . import (chat_rotation, exact_dedup, line_dedup, mixing, permutation_index, sharding, toxicity,
+               warc_fixity)
 from ._common import table
 
 
@@ -15,13 +16,24 @@ def _over(name: str, fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSes
     return run
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_feistel_sharding": _over("documents", sharding.query),
+    "op3_permutation_index": _over("embeddings", permutation_index.query),
     "op4_exact_dedup": _over("documents", exact_dedup.query),
+    "op5_toxicity": _toxicity,
+    "op6_warc_fixity": _over("pages", warc_fixity.query),
+    "op7_chat_rotation": _over("conversations", chat_rotation.query),
     "op9_line_dedup": _over("documents", line_dedup.query),
+    "op10_mixing": _over("documents", mixing.query),
 }
 
 ORACLES: dict[str, str] = {
     "op4_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op6_warc_fixity": warc_fixity.ORACLE_SQL,
+    "op7_chat_rotation": chat_rotation.ORACLE_SQL,
     "op9_line_dedup": line_dedup.ORACLE_SQL,
 }
