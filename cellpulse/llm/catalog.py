@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_rotation, exact_dedup, line_dedup, mixing, permutation_index, sharding, toxicity,
-               warc_fixity)
+from . import (chat_rotation, exact_dedup, line_dedup, mixing, near_dedup, packing, permutation_index,
+               sharding, toxicity, warc_fixity)
 from ._common import table
 
 
@@ -21,12 +21,14 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": _over("documents", packing.query),
     "op2_feistel_sharding": _over("documents", sharding.query),
     "op3_permutation_index": _over("embeddings", permutation_index.query),
     "op4_exact_dedup": _over("documents", exact_dedup.query),
     "op5_toxicity": _toxicity,
     "op6_warc_fixity": _over("pages", warc_fixity.query),
     "op7_chat_rotation": _over("conversations", chat_rotation.query),
+    "op8_near_dedup": _over("documents", near_dedup.query),
     "op9_line_dedup": _over("documents", line_dedup.query),
     "op10_mixing": _over("documents", mixing.query),
 }
