@@ -7,6 +7,9 @@ registered for removal when the driver JVM exits.
 """
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +24,18 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 BROADCAST_BYTES = 48 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python once per application; they need no checkout of their own."""
+    context = spark.sparkContext
+    if any(f.startswith("cellpulse-") for f in context._python_includes):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    base = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="cellpulse-ship-")), f"cellpulse-{uuid.uuid4().hex}")
+    context.addPyFile(shutil.make_archive(base, "zip", root, "cellpulse"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

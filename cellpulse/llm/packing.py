@@ -200,7 +200,7 @@ def plan(histogram: dict[int, int], capacity: int = SEQUENCE // GRAIN) -> pd.Dat
     return pd.DataFrame(rows, columns=["cls", "rank_from", "rank_to", "per", "first"])
 
 
-def pack(cut: DataFrame, keys: tuple[str, ...] = ("doc_id", "start")) -> DataFrame:
+def pack(cut: DataFrame, keys: tuple[str, ...] = ("doc_id", "start", "ids_crc32")) -> DataFrame:
     """A stored table of pieces (with ``length``) plus sequence_id and offset."""
     cls = F.ceil(F.col("length") / GRAIN).cast("long")
     counted = cut.groupBy(cls.alias("cls")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most SEQUENCE / GRAIN rows
