@@ -65,21 +65,20 @@ DRIFT_FEATURES = (
 
 # Feature lists of the four models.
 SOH_FEATURES = (
-    "cycle_count", "resistance_growth_rate", "rolling_temperature_max_10",
-    "rolling_resistance_mean_10", "fast_charge_ratio", "avg_depth_of_discharge",
+    "cycle_count", "resistance_growth_rate", "rolling_resistance_mean_10",
+    "rolling_temperature_max_10", "fast_charge_ratio", "avg_depth_of_discharge",
     "high_temp_exposure_hours", "batch_failure_rate", "station_anomaly_rate",
 )
 RUL_FEATURES = (
-    "cycle_count", "soh_current", "capacity_fade_rate", "resistance_growth_rate",
-    "rolling_capacity_mean_10", "rolling_temperature_max_10", "rolling_resistance_mean_10",
-    "soh_delta_last_20_cycles", "fast_charge_ratio", "avg_depth_of_discharge",
-    "high_temp_exposure_hours",
+    "soh_current", "capacity_fade_rate", "resistance_growth_rate", "soh_delta_last_20_cycles",
+    "cycle_count", "rolling_resistance_mean_10", "rolling_temperature_max_10",
+    "fast_charge_ratio", "high_temp_exposure_hours", "batch_failure_rate", "station_anomaly_rate",
 )
+# Without batch_failure_rate, which embeds the target.
 FAILURE_FEATURES = (
     "final_soh", "capacity_fade_rate", "resistance_growth_rate", "peak_temperature_max",
     "mean_temperature_max", "cycle_count", "fast_charge_ratio", "avg_depth_of_discharge",
-    "high_temp_exposure_hours", "low_temp_exposure_hours", "batch_failure_rate",
-    "station_anomaly_rate",
+    "high_temp_exposure_hours", "low_temp_exposure_hours", "station_anomaly_rate",
 )
 EARLY_WARNING_FEATURES = (
     "early_cycle_count", "soh_at_cycle_20", "soh_at_cycle_50", "capacity_fade_rate_50",

@@ -174,11 +174,12 @@ def psi_by_feature(long: DataFrame) -> DataFrame:
     bins = edges.select("feature", "n_edges",
                         F.explode(F.sequence(F.lit(0), F.greatest(F.col("n_edges") - 2, F.lit(0)))).alias("bin"))
     full = bins.join(counts, ["feature", "n_edges", "bin"], "left").join(totals, "feature")
-    rp = F.greatest(F.coalesce(F.col("rc"), F.lit(0)) / F.col("rn"), F.lit(config.PSI_FLOOR))
-    cp = F.greatest(F.coalesce(F.col("cc"), F.lit(0)) / F.col("cn"), F.lit(config.PSI_FLOOR))
-    term = (cp - rp) * F.log(cp / rp)
+    rp = F.greatest(F.try_divide(F.coalesce(F.col("rc"), F.lit(0)), F.col("rn")), F.lit(config.PSI_FLOOR))
+    cp = F.greatest(F.try_divide(F.coalesce(F.col("cc"), F.lit(0)), F.col("cn")), F.lit(config.PSI_FLOOR))
+    # Without rows on one side the index is unknown, not the floor.
+    term = F.when((F.col("rn") > 0) & (F.col("cn") > 0), (cp - rp) * F.log(cp / rp))
     psi = full.groupBy("feature", "n_edges").agg(F.sum(term).alias("_psi"))
-    return psi.select("feature", F.when(F.col("n_edges") < 3, F.lit(0.0)).otherwise(F.col("_psi")).alias("psi"))
+    return psi.select("feature", F.when((F.col("n_edges") < 3) & F.col("_psi").isNotNull(), F.lit(0.0)).otherwise(F.col("_psi")).alias("psi"))
 
 
 def drift_table(frame: DataFrame, features: list[str]) -> DataFrame:

@@ -130,7 +130,8 @@ def leave_one_out_rate(df: DataFrame, group: str, value: str, id_col: str = "cel
     rate = (F.when(F.col("_gc") > 1, (F.col("_gs") - own) / (F.col("_gc") - 1))
             .when(tc > 1, (ts - own) / (tc - 1))
             .otherwise(F.lit(0.0)))
-    return df.join(groups, group).select(id_col, rate.alias(out))
+    groups = groups.withColumnRenamed(group, "_g")
+    return df.join(groups, df[group].eqNullSafe(groups["_g"]), "left").select(id_col, rate.alias(out))
 
 
 def cycle_features(series: DataFrame, stats: DataFrame, context: DataFrame,

@@ -7,18 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import q_pipeline  # noqa: F401  (registers queries)
+from . import q_evaluate, q_models, q_pipeline, q_public, q_quality, q_reports  # noqa: F401  (register queries)
 from .double_columns import DOUBLE_COLUMNS
 from .pipeline import pipeline
 from .registry import QUERIES, finish, wrap_sql
 
-for _mod in ("q_quality", "q_reports", "q_evaluate", "q_public", "q_models"):
-    try:
-        __import__(f"{__package__}.{_mod}")
-    except ModuleNotFoundError as exc:  # module not written yet
-        if _mod not in str(exc):
-            raise
-
 
 def _runner(fn: Callable) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(fn)

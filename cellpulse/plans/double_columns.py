@@ -69,7 +69,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'likely_root_cause': [],
     'lot_escalation_mean': ['escalation_rate'],
     'lot_station_final_soh': ['avg_final_soh'],
-    'lot_station_heatmap': ['ST-01', 'ST-02', 'ST-03', 'ST-04', 'ST-05', 'ST-06', 'ST-07', 'ST-08'],
+    "lot_station_heatmap": ["avg_final_soh"],
     'mart_cell_health_summary': ['last_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max', 'predicted_soh', 'predicted_remaining_cycles', 'failure_probability', 'early_warning_probability'],
     'mart_escalation_queue': ['failure_probability', 'early_warning_probability', 'predicted_soh', 'predicted_remaining_cycles', 'last_soh', 'capacity_fade_rate', 'resistance_growth_rate', 'peak_temperature_max'],
     'mart_factory_quality': ['avg_final_soh', 'avg_capacity_fade_rate', 'avg_resistance_growth_rate', 'escalation_rate', 'early_degradation_rate', 'thermal_anomaly_rate', 'impedance_spike_rate'],

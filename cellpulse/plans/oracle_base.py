@@ -61,7 +61,6 @@ lx AS (
     24.0::DOUBLE + 0.012::DOUBLE * ci + (l_quantity - 25.0::DOUBLE) / 12.0::DOUBLE + 6.0::DOUBLE + (sc.fm - 1.0::DOUBLE) * 10.0::DOUBLE AS tmax,
     3.7::DOUBLE - 0.0002::DOUBLE * sc.fm * ci + 0.1::DOUBLE * (l_discount - 0.05::DOUBLE) AS vmean
   FROM li JOIN sc ON li.l_suppkey = sc.s_suppkey JOIN factory f ON f.cell_id = sc.cell_id
-  WHERE ci <= sc.life
 ),
 landing0 AS (
   SELECT cell_id, CAST(ci AS INTEGER) AS cycle_index,

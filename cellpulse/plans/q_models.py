@@ -18,7 +18,7 @@ from .registry import register
 def _grouped_split(df, key: str = "cell_id", fraction: float = config.TEST_FRACTION):
     """Cells go wholly to one side: a cell is held out when its seeded hash falls
     in the lowest ``fraction`` of the hash range (no sort, no collect)."""
-    h = F.abs(F.xxhash64(F.col(key), F.lit(config.SEED))) % 10000
+    h = F.pmod(F.xxhash64(F.col(key), F.lit(config.SEED)), F.lit(10000))
     return df.withColumn("is_test", h < int(fraction * 10000))
 
 
@@ -34,24 +34,29 @@ def _weighted(df, label: str):
 
 
 def fit_failure_classifier(train, features=config.FAILURE_FEATURES, label="escalation_required"):
-    """Logistic regression vs random forest (balanced), best F1 at 0.5 on the training fold."""
-    t = _weighted(train.withColumn("label", F.col(label).cast("double")), "label")
+    """Logistic regression vs random forest (balanced weights): the best F1 at 0.5 on a validation
+    fold of whole cells wins and is fitted again on all of ``train``."""
+    t = _grouped_split(train.withColumn("label", F.col(label).cast("double")))
+    fold, valid = (t.where(F.col("is_test") == side) for side in (False, True))
     base = [_assembler(features), StandardScaler(inputCol="features_raw", outputCol="features", withMean=True)]
-    n = t.select(F.count(F.lit(1))).scalar()
-    cands = {
-        "LogisticRegression": MLPipeline(stages=base + [LogisticRegression(weightCol="w", regParam=1.0, elasticNetParam=0.0)]),
-        "RandomForest": MLPipeline(stages=base + [RandomForestClassifier(weightCol="w", numTrees=30, maxDepth=8,
-                                                                         minInstancesPerNode=2, seed=config.SEED)]),
-    }
-    _ = n
+
+    def candidates(n: int) -> dict:
+        # C = 1 of a summed loss is 1 / n of Spark's averaged one.
+        return {
+            "LogisticRegression": LogisticRegression(weightCol="w", regParam=1.0 / max(n, 1), elasticNetParam=0.0),
+            "RandomForest": RandomForestClassifier(weightCol="w", numTrees=30, maxDepth=8, minInstancesPerNode=2,
+                                                   seed=config.SEED),
+        }
+
     best = None
-    for name, pipe in cands.items():
-        model = pipe.fit(t)
-        scored = model.transform(t).withColumn("p", vector_to_array("probability")[1])
-        f1 = ev.classification_metrics(scored, "label", "p").select("f1").first()[0]  # one metrics row
-        if best is None or f1 > best[2]:
-            best = (name, model, f1)
-    return best
+    for name, stage in candidates(fold.count()).items():
+        model = MLPipeline(stages=[*base, stage]).fit(_weighted(fold, "label"))
+        scored = model.transform(valid).withColumn("p", vector_to_array("probability")[1])
+        f1 = ev.classification_metrics(scored, "label", "p").select("f1").first()[0] or 0.0  # one metrics row
+        if best is None or f1 > best[1]:
+            best = (name, f1)
+    stage = candidates(t.count())[best[0]]
+    return best[0], MLPipeline(stages=[*base, stage]).fit(_weighted(t.drop("is_test"), "label")), best[1]
 
 
 @register("train_failure")

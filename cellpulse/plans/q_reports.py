@@ -406,14 +406,11 @@ def risk_by_usage(p):
     return g.select("usage_profile", *[F.coalesce(F.col(t), F.lit(0)).alias(t) for t in TIERS])
 
 
-STATIONS = [f"ST-{i:02d}" for i in range(1, 9)]
-
-
-@register("lot_station_heatmap", "SELECT lot_id, " + ", ".join(
-    f"max(avg_final_soh) FILTER (WHERE station_id = '{s}') AS \"{s}\"" for s in STATIONS)
-    + " FROM factory_quality GROUP BY lot_id")
+@register("lot_station_heatmap",
+          "SELECT lot_id, station_id, max(avg_final_soh) AS avg_final_soh FROM factory_quality GROUP BY ALL")
 def lot_station_heatmap(p):
-    return p.factory_quality.groupBy("lot_id").pivot("station_id", STATIONS).agg(F.max("avg_final_soh"))
+    """One row per (lot, station): the stations come from the data, so a new one is never dropped."""
+    return p.factory_quality.groupBy("lot_id", "station_id").agg(F.max("avg_final_soh").alias("avg_final_soh"))
 
 
 @register("anomaly_mix_by_lot", f"""

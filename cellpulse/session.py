@@ -18,6 +18,7 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -29,15 +30,12 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         ensure_checkpoint_dir(active)
         return active
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or os.environ.get("SPARK_MASTER", "local[*]"))
+    builder = builder.master(master or "local[*]")
     for key, value in BASE_CONF.items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        # Local runs only: a cluster names its shared folder in spark.checkpoint.dir.
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cellpulse-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
