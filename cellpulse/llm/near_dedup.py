@@ -13,7 +13,8 @@ No pair of a group is emitted that is not needed for its components:
 * documents with equal sets are one node from the start;
 * round 1 links every member of a band bucket to the bucket's smallest node only;
 * round 2 looks at buckets that still hold several components and verifies the
-  likely pairs *across* components, in bounded blocks of the bucket.
+  likely pairs *across* components, in bounded blocks of the bucket; each pair is
+  looked at once, in the first band it shares, and short sets are compared there.
 All pairs that share a bucket are then linked, verified or ruled out, so
 components are those of all links (a link of similarity 0.8 shares no bucket
 with probability below 1e-7; the estimate may miss one in 1e5).
@@ -40,7 +41,9 @@ from ._common import small_side, stored
 SHINGLE, SIMILAR = 4, 80
 REGISTERS, MANTISSA, ROWS, BANDS = 128, 10, 4, 32
 #: Standard errors below the threshold at which an estimate rules a pair out.
-MARGIN, BLOCK, CACHE_WORDS = 4.5, 512, 300_000
+MARGIN, BLOCK, CACHE_WORDS = 4.5, 1024, 300_000
+#: Sets of at most so many shingles travel whole into a split bucket; longer ones are verified afterwards.
+SHORT = 1024
 _U = np.uint64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -201,12 +204,8 @@ def _probable(pairs: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
     return both.select("u", "nu", "ru", "v", "nv", "rv").mapInArrow(fn, "u long, v long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int,
-              similar: int) -> DataFrame:
-    """The pairs whose full sets reach the similarity."""
-    wanted = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-                    .join(nodes.select("node", "a"), "node"), "wanted")
-
+def _sets(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, name: str) -> DataFrame:
+    """node, shingles (sorted 64-bit hashes) of the stored nodes (node, a), recomputed from whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
         for batch in batches:
@@ -219,7 +218,15 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
     texts = texts.join(small_side(wanted.select("node"), 8), "node", "left_semi")
     sets = (texts.mapInArrow(run, "node long, a long, shingles binary").join(small_side(wanted, 16), ["node", "a"], "left_semi")
             .dropDuplicates(["node", "a"]).drop("a"))
-    sets = stored(sets, "sets")
+    return stored(sets, name)
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int,
+              similar: int) -> DataFrame:
+    """The pairs whose full sets reach the similarity."""
+    wanted = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
+                    .join(nodes.select("node", "a"), "node"), "wanted")
+    sets = _sets(wanted, docs, id_col, text_col, width, "sets")
     both = pairs.join(sets.toDF("u", "su"), "u").join(sets.toDF("v", "sv"), "v")
 
     def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,19 +273,42 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _across(similar: int):
-    """Likely pairs across components between two blocks of a bucket (or within one)."""
+    """Likely pairs across components between two blocks of a bucket (or within one), each in the first
+    band that its two nodes share.  Sets of at most ``SHORT`` shingles are compared whole, on 32 bits of
+    each hash: equal bits of different hashes can only add a pair, which verification then drops."""
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
+        bucket, i, j = key
         regs = np.frombuffer(b"".join(rows["regs"]), dtype=np.uint16).reshape(-1, REGISTERS)
         node, comp, n, blk = (rows[c].to_numpy() for c in ("node", "comp", "n", "blk"))
-        left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
+        band = int(np.flatnonzero(band_keys(regs[:1])[0] == bucket)[0])
+        sets = [np.frombuffer(x or b"", dtype=np.uint32) for x in rows["short"]]
+        held = np.array([len(x) for x in sets])
+        short = held == n  # rows that share an id may meet each other's sets; those are left to verification
+        flat = np.concatenate(sets)
+        place = np.unique(flat, return_inverse=True)[1].reshape(-1)
+        ends = np.cumsum(held)
+        largest = pd.Series(comp).mode()[0]  # of two components one at least is another
+        seen = np.zeros(int(place.max(initial=-1)) + 1, dtype=np.int64)
         out = []
-        for x in left:
-            others = right[(comp[right] != comp[x]) & ((node[right] > node[x]) if i == j else True)]
-            others = others[(100 * np.minimum(n[others], n[x]) >= similar * np.maximum(n[others], n[x]))]
-            if len(others):
-                ok = likely((regs[others] == regs[x]).mean(axis=1), np.full(len(others), n[x]), n[others], similar)
-                out += [(node[x], y) for y in node[others[ok]]]
+        for x in np.flatnonzero(comp != largest):
+            pick = (comp != comp[x]) & ((comp == largest) | (node > node[x]))
+            if i != j:
+                pick &= blk != blk[x]
+            pick &= 100 * np.minimum(n, n[x]) >= similar * np.maximum(n, n[x])
+            others = np.flatnonzero(pick)
+            equal = regs[others] == regs[x]
+            first = equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+            others, equal = others[first], equal[first]
+            if not len(others):
+                continue
+            ok = likely(equal.mean(axis=1), np.full(len(others), n[x]), n[others], similar)
+            others = others[ok]
+            if short[x] and len(others):
+                seen[place[ends[x] - n[x]:ends[x]]] = 1
+                common = np.array([seen[place[ends[y] - n[y]:ends[y]]].sum() if short[y] else n[y] for y in others])
+                seen[place[ends[x] - n[x]:ends[x]]] = 0
+                others = others[100 * common >= similar * (n[x] + n[others] - common)]
+            out += [(node[x], y) for y in node[others]]
         return pd.DataFrame([(min(p), max(p)) for p in out], columns=["u", "v"], dtype="int64")
     return run
 
@@ -301,11 +331,21 @@ def near_links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, wi
     split = (wide.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
              .where("lo <> hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
     split = stored(split, "split_buckets")
-    rows = wide.join(small_side(split, 24), "key").join(nodes.select("node", "regs"), "node")
+    rows = stored(wide.join(small_side(split, 24), "key"), "split")
+    wanted = stored(rows.where(F.col("n") <= SHORT).select("node").distinct().join(nodes.select("node", "a"), "node"), "short")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b["node"], pa.array(
+                [np.frombuffer(x, dtype=_U).astype(np.uint32).tobytes() for x in b["shingles"].to_pylist()],
+                pa.binary())], names=["node", "short"])
+    sets = _sets(wanted, docs, id_col, text_col, width, "short_sets").mapInArrow(cut, "node long, short binary")
+    rows = rows.join(nodes.select("node", "regs").join(sets, "node", "left"), "node")
     rows = rows.withColumn("blk", F.pmod(F.xxhash64("node", F.lit(9)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp", "n", "regs")
-    more = (rows.groupBy("key", "i", "j").applyInPandas(_across(similar), "u long, v long").distinct()
+        "key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp", "n",
+        "regs", "short")
+    more = (rows.groupBy("key", "i", "j").applyInPandas(_across(similar), "u long, v long")
             .join(tested.select(F.col("u"), F.col("v")), ["u", "v"], "left_anti"))
     more = stored(more, "round2")
     if more.isEmpty():

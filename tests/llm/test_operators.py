@@ -300,6 +300,25 @@ def test_near_dedup_against_brute_force(spark, edges):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("short", [0, near_dedup.SHORT])
+def test_near_dedup_of_a_group_with_stragglers(spark, short, monkeypatch):
+    """Many copies around the threshold, in several blocks a bucket; an id with two texts among them."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "SHORT", short)
+    rng, base = np.random.default_rng(8), [f"v{i}" for i in range(150)]
+    rows = []
+    for k in range(120):
+        words = list(base)
+        for at in rng.choice(150, size=int(rng.integers(0, 12)), replace=False):
+            words[at] = f"z{k}x{at}"
+        rows.append((k, " ".join(words), "a"))
+    got = sorted(plain_row[:4] for plain_row in map(tuple, near_dedup.query(make(spark, rows)).collect()))
+    assert got == brute_components([r[:2] for r in rows])
+    twice = make(spark, rows + [(119, "another text of the same id", "a")])
+    kept = {r["doc_id"]: r["component_id"] for r in near_dedup.query(twice).collect()}
+    assert kept == {r[0]: r[2] for r in got}
+
+
 def test_near_dedup_defined_cases(spark):
     docs = make(spark, [(1, "a b c d e f", "x"), (2, "A B  c d e f", "x"), (None, "a b c d e f", "x"), (3, None, "x"), (4, "", "x")])
     got = {r["doc_id"]: r for r in near_dedup.query(docs).collect()}
