@@ -15,7 +15,9 @@ Defined cases: null url or html is empty; a null page id gets a segment of its
 own (the last); pages with equal ids are ordered by url and html; a record that
 one replica lacks differs; two empty replicas give an empty report; other
 columns are ignored.
-Skew: groups have at most ``FANOUT`` children, segments a bounded number of ids.
+Skew: groups have at most ``FANOUT`` children, segments a bounded number of ids;
+the leaf positions set aside for a segment grow with the fullest one, so that
+segments never overlap.  The SQL has the usual room and suits segments up to it.
 """
 from __future__ import annotations
 
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ._common import small_side, stored
 
-SEGMENT_PAGES, FANOUT, SEGMENT_ROOM = 1000, 16, 4096
+SEGMENT_PAGES, FANOUT, SEGMENT_ROOM = 1000, 16, 4096  # SEGMENT_ROOM: leaf positions of a segment, at least
 #: Archive of pages without an id.
 NO_ID_SEGMENT = 1 << 40
 
@@ -41,11 +43,14 @@ def records(pages: DataFrame) -> DataFrame:
     p = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     p = p.select("page_id", "url", "html", _record(F.col("url"), F.col("page_id"), F.col("html")).alias("record"),
                  F.coalesce(F.floor(F.col("page_id") / SEGMENT_PAGES), F.lit(NO_ID_SEGMENT)).cast("long").alias("segment"))
+    room, most = SEGMENT_ROOM, p.groupBy("segment").count().agg(F.max("count")).first()[0] or 0
+    while room < most:  # repeated or missing ids can fill a segment beyond its usual room
+        room *= FANOUT
     order = Window.partitionBy("segment").orderBy("page_id", "url", "html")
     size = F.octet_length("record").cast("long")
     end = F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0))
     return p.select("segment", "page_id", "record", (end - size).alias("range_start"), end.alias("range_end"),
-                    (F.col("segment") * SEGMENT_ROOM + F.row_number().over(order) - 1).alias("position"))
+                    (F.col("segment") * room + F.row_number().over(order) - 1).alias("position"))
 
 
 def leaves(recs: DataFrame, record: Column | None = None) -> DataFrame:

@@ -261,6 +261,14 @@ def test_line_dedup(spark, edges):
     assert line_dedup.query(docs.limit(0)).count() == 0
 
 
+def test_fixity_segments_with_repeated_ids_do_not_overlap(spark, monkeypatch):
+    monkeypatch.setattr(warc_fixity, "SEGMENT_ROOM", 4)
+    rows = [(k % 2 * 1000, f"u{k}", "h") for k in range(80)]
+    recs = warc_fixity.records(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len({r["position"] for r in recs}) == 80
+    assert {r["segment"]: r["position"] // 64 for r in recs} == {0: 0, 1: 1}
+
+
 # 8 near dedup ------------------------------------------------------------------------------------------------------
 def brute_components(rows, width=4, similar=80):
     sets = {}
