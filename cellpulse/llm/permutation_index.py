@@ -5,14 +5,17 @@ blocks of about ``BLOCK`` rows; each block keeps one inverted file per pivot
 with the vectors that have it among their ``PREFIX`` nearest, and at which
 place.  A query walks the files of its own ``PROBE`` nearest pivots and adds up,
 for every vector met, how much each shared pivot lowers the footrule distance of
-the two rankings; the vectors of least footrule distance (``RERANK`` of a block)
-are reranked by the exact inner product in double precision.  Every query meets
-every block; a block gives its best, and the best over all blocks remain.
+the two rankings; the vectors of least footrule distance (``RERANK`` of a block
+and all that tie with the last of them) are reranked by the exact inner product in
+double precision.  While one of the best lies in the farther half of what was
+reranked, the cut is unclear and the share is doubled, up to the whole block.  Every
+query meets every block; a block gives its best, and the best over all blocks remain.
 
 Largest inner product is reduced to nearest neighbours by one more dimension
 (``sqrt(M^2 - |x|^2)``, 0 for queries), so vectors need not have unit length.
-Pivots are a hash-ordered sample of ``PIVOTS`` rows; all rows are indexed, equal
-vectors as one entry with the ids that can be in any answer (the ``top + 1``
+Pivots are ``PIVOTS`` rows of a hash-ordered sample of ``SAMPLE``, each the farthest
+by angle from those before it, so a tight cluster gets few of them whatever its size;
+all rows are indexed, equal vectors as one entry with the ids that can be in any answer (the ``top + 1``
 smallest; more copies can never be among the nearest ``top``).
 
 Defined cases: vectors that are null, zero, of another dimension than most, or
@@ -33,7 +36,9 @@ from pyspark.sql import functions as F
 from ._common import stored
 
 PIVOTS, PREFIX, PROBE, BLOCK, QUERIES = 256, 96, 64, 16_384, 1024
-#: Share of a block that is reranked exactly, and the least number of vectors.
+#: Rows the pivots are chosen from.
+SAMPLE = 4096
+#: Share of a block that is reranked exactly at first, and the least number of vectors.
 RERANK, RERANK_MIN = 0.15, 600
 
 
@@ -64,6 +69,19 @@ def _ranking(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.take_along_axis(part, order, 1)
 
 
+def _spread(x: np.ndarray, count: int) -> np.ndarray:
+    """The first row, then again and again the row of largest angle to all taken so far."""
+    unit = x / np.abs(x).max(axis=1, keepdims=True)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    taken, near = [], np.full(len(x), -1.0)
+    for _ in range(min(count, len(x))):
+        i = int(np.argmin(near))
+        taken.append(i)
+        near = np.maximum(near, unit @ unit[i])
+        near[i] = np.inf
+    return x[taken]
+
+
 def _poster(pivots: np.ndarray, prefix: int, top_norm: float):
     def post(rows: pd.DataFrame) -> pd.DataFrame:
         """A block's inverted files; pivot -1 holds the block's ids and vectors."""
@@ -84,6 +102,23 @@ def _poster(pivots: np.ndarray, prefix: int, top_norm: float):
     return post
 
 
+def _rerank(near: np.ndarray, ids: np.ndarray, x: np.ndarray, vec: np.ndarray, take: int, count: int):
+    """Rows and scores of the best ``count``, reranking ``take`` rows and more while the cut is unclear."""
+    ordered = np.sort(near)[::-1]
+    score, done = np.zeros(len(ids)), np.zeros(len(ids), dtype=bool)
+    while True:
+        fresh = np.flatnonzero((near >= ordered[take - 1]) & ~done)
+        score[fresh] = (x[fresh] * vec).sum(axis=1)
+        done[fresh] = True
+        cand = np.flatnonzero(done)
+        if len(cand) > count:
+            cand = cand[score[cand] >= np.partition(score[cand], -count)[-count]]
+        best = cand[np.lexsort((ids[cand], -score[cand]))[:count]]
+        if done.all() or near[best].min() > ordered[take // 2]:
+            return best, score[best]
+        take = min(len(ids), 2 * take)
+
+
 def _searcher(pivots: np.ndarray, prefix: int, probe: int, top: int, share: float, least: int):
     def search(files: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if files.empty or queries.empty:
@@ -103,10 +138,8 @@ def _searcher(pivots: np.ndarray, prefix: int, probe: int, top: int, share: floa
                 if p in lists:
                     owner, place = lists[p]
                     near[owner] += prefix - np.maximum(place, i)
-            cand = np.sort(np.argpartition(-near, take - 1)[:take]) if take < len(ids) else np.arange(len(ids))
-            score = (x[cand] * vec).sum(axis=1)
-            best = np.lexsort((ids[cand], -score))[: top + 1]
-            got.append(pd.DataFrame({"query_id": qid, "vec_id": ids[cand[best]], "score": score[best]}))
+            best, score = _rerank(near, ids, x, vec, take, top + 1)
+            got.append(pd.DataFrame({"query_id": qid, "vec_id": ids[best], "score": score}))
         return pd.concat(got)
     return search
 
@@ -120,8 +153,8 @@ def build(vectors: DataFrame, top: int) -> tuple[DataFrame, DataFrame, np.ndarra
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     total, top_norm = entries.agg(F.count(F.lit(1)), F.sqrt(F.max(norm2))).first()
     top_norm = float(top_norm or 0.0)
-    sample = entries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
-    pivots = _lifted(np.array([r["v"] for r in sample], dtype=np.float64).reshape(len(sample), -1), top_norm)
+    sample = entries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
+    pivots = _lifted(_spread(_matrix(sample["v"]), PIVOTS), top_norm)
     blocks = max(1, -(-total // BLOCK))
     files = (entries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int"))
              .groupBy("block").applyInPandas(_poster(pivots, min(PREFIX, len(pivots)), top_norm),

@@ -169,6 +169,35 @@ def test_permutation_index_edges(spark):
     assert permutation_index.query(emb.limit(0)).count() == 0
 
 
+def block_recall(spark, x, asked):
+    emb = spark.createDataFrame(pd.DataFrame({"vec_id": range(len(x)), "embedding": list(x)}))
+    got = permutation_index.search(emb, emb.where(F.col("vec_id").isin(asked))).toPandas()
+    found = got.groupby("query_id")["vec_id"].agg(set)
+    hits = 0
+    for i in asked:
+        score = (x * x[i]).sum(axis=1)
+        order = [int(j) for j in np.lexsort((np.arange(len(x)), -score)) if j != i][:20]
+        hits += len(found[i] & set(order))
+    return hits / (20 * len(asked))
+
+
+def unit_vectors(n, hot=0, noise=0.02, seed=1):
+    """``n`` vectors of length one, the first ``hot`` close to one point."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, 64))
+    x[:hot] = x[n - 1] / np.linalg.norm(x[n - 1]) + noise * x[:hot] / 8
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.2])
+def test_permutation_index_recall_beside_and_in_a_hot_cluster(spark, noise):
+    n = 2 * permutation_index.BLOCK
+    x = unit_vectors(n, n // 3, noise)
+    outside, inside = (block_recall(spark, x, list(range(a, a + 40))) for a in (n // 2, 0))
+    print("recall", noise, outside, inside)
+    assert outside >= 0.95 and inside >= 0.95
+
+
 # 4 exact dedup -----------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize("edges", [False, True])
 def test_exact_dedup(spark, edges):
