@@ -12,7 +12,10 @@ reranked, the cut is unclear and the share is doubled, up to the whole block.  E
 query meets every block; a block gives its best, and the best over all blocks remain.
 
 Largest inner product is reduced to nearest neighbours by one more dimension
-(``sqrt(M^2 - |x|^2)``, 0 for queries), so vectors need not have unit length.
+(``sqrt(M^2 - |x|^2)``, 0 for queries), so vectors need not have unit length.  The
+products leave out what all pivots share, so a row of very large norm (a large M)
+costs the others no digits, and the ``RERANK_MIN`` rows of largest norm in a block
+are always reranked.  Squared norms must fit a double (components below 1e150).
 Pivots are ``PIVOTS`` rows of a hash-ordered sample of ``SAMPLE``, each the farthest
 by angle from those before it, so a tight cluster gets few of them whatever its size;
 all rows are indexed, equal vectors as one entry with the ids that can be in any answer (the ``top + 1``
@@ -56,14 +59,19 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64)
 
 
-def _lifted(x: np.ndarray, top_norm: float) -> np.ndarray:
-    rest = np.sqrt(np.maximum(0.0, top_norm**2 - np.einsum("ij,ij->i", x, x)))
-    return np.hstack([x, rest[:, None]])
+def _rest(norm2: np.ndarray, top_norm: float) -> np.ndarray:
+    return np.sqrt(np.maximum(0.0, top_norm**2 - norm2))
 
 
-def _ranking(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
-    """The ``prefix`` nearest pivots of each row, nearest first (pivots lie on one sphere)."""
-    near = x @ pivots.T
+def _nearness(x: np.ndarray, pivots: np.ndarray, top_norm: float) -> np.ndarray:
+    """Products of lifted rows and pivots less ``M sqrt(M^2 - |x|^2)``, the same for all pivots of a row."""
+    norm2, pivot2 = (np.einsum("ij,ij->i", m, m) for m in (x, pivots))
+    below = pivot2 / np.maximum(top_norm + _rest(pivot2, top_norm), np.finfo(float).tiny)
+    return x @ pivots.T - _rest(norm2, top_norm)[:, None] * below
+
+
+def _ranking(near: np.ndarray, prefix: int) -> np.ndarray:
+    """The ``prefix`` nearest pivots of each row, nearest first."""
     part = np.argpartition(-near, prefix - 1, axis=1)[:, :prefix]
     order = np.argsort(-np.take_along_axis(near, part, 1), axis=1, kind="stable")
     return np.take_along_axis(part, order, 1)
@@ -87,7 +95,7 @@ def _poster(pivots: np.ndarray, prefix: int, top_norm: float):
         """A block's inverted files; pivot -1 holds the block's ids and vectors."""
         rows = rows.sort_values("vec_id")
         x = _matrix(rows["v"])
-        rank = _ranking(_lifted(x, top_norm), pivots, prefix)
+        rank = _ranking(_nearness(x, pivots, top_norm), prefix)
         flat = rank.reshape(-1)
         order = np.argsort(flat, kind="stable")
         owner = (order // prefix).astype(np.int32)
@@ -102,12 +110,12 @@ def _poster(pivots: np.ndarray, prefix: int, top_norm: float):
     return post
 
 
-def _rerank(near: np.ndarray, ids: np.ndarray, x: np.ndarray, vec: np.ndarray, take: int, count: int):
-    """Rows and scores of the best ``count``, reranking ``take`` rows and more while the cut is unclear."""
+def _rerank(near: np.ndarray, large: np.ndarray, ids: np.ndarray, x: np.ndarray, vec: np.ndarray, take: int, count: int):
+    """Rows and scores of the best ``count``, reranking ``large``, ``take`` rows and more while the cut is unclear."""
     ordered = np.sort(near)[::-1]
     score, done = np.zeros(len(ids)), np.zeros(len(ids), dtype=bool)
     while True:
-        fresh = np.flatnonzero((near >= ordered[take - 1]) & ~done)
+        fresh = np.flatnonzero(((near >= ordered[take - 1]) | large) & ~done)
         score[fresh] = (x[fresh] * vec).sum(axis=1)
         done[fresh] = True
         cand = np.flatnonzero(done)
@@ -129,8 +137,10 @@ def _searcher(pivots: np.ndarray, prefix: int, probe: int, top: int, share: floa
         lists = {p: (np.frombuffer(o, dtype=np.int32), np.frombuffer(s, dtype=np.uint8).astype(np.int32))
                  for p, o, s in zip(files["pivot"], files["owners"], files["places"]) if p >= 0}
         q = _matrix(queries["v"])
-        ranking = _ranking(np.hstack([q, np.zeros((len(q), 1))]), pivots, probe)
+        ranking = _ranking(q @ pivots.T, probe)
         take = min(len(ids), max(least, math.ceil(share * len(ids))))
+        large = np.zeros(len(ids), dtype=bool)
+        large[np.argsort(-np.einsum("ij,ij->i", x, x), kind="stable")[:least]] = True
         got = []
         for qid, vec, rank in zip(queries["vec_id"], q, ranking):
             near = np.zeros(len(ids), dtype=np.int32)
@@ -138,7 +148,7 @@ def _searcher(pivots: np.ndarray, prefix: int, probe: int, top: int, share: floa
                 if p in lists:
                     owner, place = lists[p]
                     near[owner] += prefix - np.maximum(place, i)
-            best, score = _rerank(near, ids, x, vec, take, top + 1)
+            best, score = _rerank(near, large, ids, x, vec, take, top + 1)
             got.append(pd.DataFrame({"query_id": qid, "vec_id": ids[best], "score": score}))
         return pd.concat(got)
     return search
@@ -154,7 +164,7 @@ def build(vectors: DataFrame, top: int) -> tuple[DataFrame, DataFrame, np.ndarra
     total, top_norm = entries.agg(F.count(F.lit(1)), F.sqrt(F.max(norm2))).first()
     top_norm = float(top_norm or 0.0)
     sample = entries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()
-    pivots = _lifted(_spread(_matrix(sample["v"]), PIVOTS), top_norm)
+    pivots = _spread(_matrix(sample["v"]), PIVOTS)
     blocks = max(1, -(-total // BLOCK))
     files = (entries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(blocks)).cast("int"))
              .groupBy("block").applyInPandas(_poster(pivots, min(PREFIX, len(pivots)), top_norm),

@@ -198,6 +198,15 @@ def test_permutation_index_recall_beside_and_in_a_hot_cluster(spark, noise):
     assert outside >= 0.95 and inside >= 0.95
 
 
+@pytest.mark.parametrize("outliers", [1, 40])
+def test_permutation_index_recall_beside_very_large_norms(spark, outliers):
+    x = unit_vectors(permutation_index.BLOCK)
+    x[-outliers:] *= 1e10
+    recall = block_recall(spark, x, list(range(40)))
+    print("recall of", outliers, recall)
+    assert recall >= 0.95
+
+
 # 4 exact dedup -----------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize("edges", [False, True])
 def test_exact_dedup(spark, edges):
