@@ -91,6 +91,17 @@ SURVIVAL_NUMERIC = (
     "low_temp_exposure_hours", "station_anomaly_rate",
 )
 
+# Sizes of the fitted models.
+SOH_BOOST_ROUNDS = 300
+SOH_BOOST_STEP = 0.05
+SOH_BOOST_DEPTH = 6               # default depth of level-wise boosting (XGBoost)
+SOH_FOREST_TREES = 300
+SOH_FOREST_LEAF = 3
+FAILURE_FOREST_TREES = 400
+FAILURE_FOREST_LEAF = 2
+FOREST_DEPTH = 30                 # no limit in the published pipeline; Spark grows no deeper
+LOGISTIC_ROUNDS = 1000
+
 # Human label and adverse direction (True: high value is adverse) per driver feature.
 DRIVER_META = (
     ("final_soh", "Low state of health", False),

@@ -33,7 +33,8 @@ def _weighted(df, label: str):
     return df.join(counts, label).withColumn("w", n / (2.0 * F.col("_nc")))
 
 
-def fit_failure_classifier(train, features=config.FAILURE_FEATURES, label="escalation_required"):
+def fit_failure_classifier(train, features=config.FAILURE_FEATURES, label="escalation_required",
+                           trees: int = config.FAILURE_FOREST_TREES, depth: int = config.FOREST_DEPTH):
     """Logistic regression vs random forest (balanced weights): the best F1 at 0.5 on a validation
     fold of whole cells wins and is fitted again on all of ``train``."""
     t = _grouped_split(train.withColumn("label", F.col(label).cast("double")))
@@ -43,9 +44,10 @@ def fit_failure_classifier(train, features=config.FAILURE_FEATURES, label="escal
     def candidates(n: int) -> dict:
         # C = 1 of a summed loss is 1 / n of Spark's averaged one.
         return {
-            "LogisticRegression": LogisticRegression(weightCol="w", regParam=1.0 / max(n, 1), elasticNetParam=0.0),
-            "RandomForest": RandomForestClassifier(weightCol="w", numTrees=30, maxDepth=8, minInstancesPerNode=2,
-                                                   seed=config.SEED),
+            "LogisticRegression": LogisticRegression(weightCol="w", regParam=1.0 / max(n, 1), elasticNetParam=0.0,
+                                                     maxIter=config.LOGISTIC_ROUNDS),
+            "RandomForest": RandomForestClassifier(weightCol="w", numTrees=trees, maxDepth=depth, seed=config.SEED,
+                                                   minInstancesPerNode=config.FAILURE_FOREST_LEAF),
         }
 
     best = None
@@ -70,10 +72,10 @@ def train_failure(p):
     return ev.classification_metrics(test, "label", "p").select(F.lit(name).alias("model"), "*")
 
 
-@register("train_soh")
-def train_soh(p):
-    """Linear / boosted / forest SOH regressors on cycle features (grouped by cell); lowest RMSE wins."""
-    cf = _grouped_split(p.cycle_features)
+def fit_soh(cycle_features, rounds: int = config.SOH_BOOST_ROUNDS, trees: int = config.SOH_FOREST_TREES,
+            depth: int = config.FOREST_DEPTH):
+    """Holdout metrics of the linear, boosted and forest SOH regressors (cells go wholly to one side)."""
+    cf = _grouped_split(cycle_features)
     train, test = cf.where(~F.col("is_test")), cf.where(F.col("is_test"))
     stages = [_assembler(config.SOH_FEATURES)]
     cands = {
@@ -81,10 +83,11 @@ def train_soh(p):
             StandardScaler(inputCol="features_raw", outputCol="features"),
             LinearRegression(labelCol="soh_current")]),
         "GradientBoosting": MLPipeline(stages=stages + [
-            GBTRegressor(featuresCol="features_raw", labelCol="soh_current", maxIter=10, maxDepth=3, stepSize=0.1,
-                         seed=config.SEED)]),
+            GBTRegressor(featuresCol="features_raw", labelCol="soh_current", maxIter=rounds, seed=config.SEED,
+                         maxDepth=config.SOH_BOOST_DEPTH, stepSize=config.SOH_BOOST_STEP)]),
         "RandomForest": MLPipeline(stages=stages + [
-            RandomForestRegressor(featuresCol="features_raw", labelCol="soh_current", numTrees=10, maxDepth=6,
+            RandomForestRegressor(featuresCol="features_raw", labelCol="soh_current", numTrees=trees, maxDepth=depth,
+                                  minInstancesPerNode=config.SOH_FOREST_LEAF, featureSubsetStrategy="all",
                                   seed=config.SEED)]),
     }
     rows = None
@@ -96,6 +99,17 @@ def train_soh(p):
     return rows
 
 
+def lowest_rmse(rows):
+    """The row of lowest RMSE (an undefined one last, ties by name)."""
+    return rows.orderBy(F.asc_nulls_last(F.nanvl("rmse", F.lit(None))), "model").limit(1)
+
+
+@register("train_soh")
+def train_soh(p):
+    """Linear / boosted / forest SOH regressors on cycle features (grouped by cell); lowest RMSE wins."""
+    return lowest_rmse(fit_soh(p.cycle_features))
+
+
 @register("score_cells_model")
 def score_cells_model(p):
     """Failure probability and tier from the fitted classifier for every cell."""

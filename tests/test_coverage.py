@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from cellpulse import config
 from cellpulse.operators import evaluate, features
+from cellpulse.plans import q_models
+from cellpulse.plans.pipeline import Pipeline
 from cellpulse.session import ensure_checkpoint_dir
 from cellpulse.sources import bridge, tables
 
@@ -42,3 +44,18 @@ def test_rows_without_a_group_keep_their_rate(spark):
 def test_empty_current_cohort_is_unknown(spark):
     df = spark.createDataFrame([(True, float(i)) for i in range(20)], "is_train boolean, x double")
     assert [r["status"] for r in evaluate.drift_table(df, ["x"]).collect()] == ["unknown"]
+
+
+def test_models_have_the_published_size():
+    sizes = {f: f.__defaults__ for f in (q_models.fit_soh, q_models.fit_failure_classifier)}
+    assert sizes[q_models.fit_soh] == (300, 300, 30)
+    assert sizes[q_models.fit_failure_classifier][-2:] == (400, 30)
+    assert (config.SOH_BOOST_STEP, config.SOH_FOREST_LEAF, config.FAILURE_FOREST_LEAF) == (0.05, 3, 2)
+
+
+def test_soh_model_of_lowest_rmse_is_returned(spark, monkeypatch):
+    rows = q_models.fit_soh(Pipeline(spark, SF).cycle_features, rounds=2, trees=2, depth=3).collect()
+    assert [r["model"] for r in rows] == ["LinearRegression", "GradientBoosting", "RandomForest"]
+    monkeypatch.setattr(q_models, "fit_soh", lambda _: spark.createDataFrame(rows))
+    got = q_models.train_soh(SimpleNamespace(cycle_features=None)).collect()
+    assert [r["model"] for r in got] == [min(rows, key=lambda r: r["rmse"])["model"]]
