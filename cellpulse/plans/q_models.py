@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline as MLPipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import functions as F
@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.scalar import risk_tier
 from ..operators import evaluate as ev
+from ..operators import survival
+from ..operators.reports import top_k
 from .q_evaluate import _split
 from .registry import register
 
@@ -119,3 +121,40 @@ def score_cells_model(p):
     out = model.transform(cf).withColumn("failure_probability", vector_to_array("probability")[1])
     return out.select("cell_id", F.bround("failure_probability", 4).alias("failure_probability"),
                       risk_tier(F.col("failure_probability")).alias("risk_tier"))
+
+
+def fit_hazard(train):
+    """Balanced logistic hazard of an interval, on the person-period rows of the train cells."""
+    x = _weighted(survival.expand_intervals(train), "hazard_event")
+    numeric = [*config.SURVIVAL_NUMERIC, "log_interval_end"]
+    return MLPipeline(stages=[
+        _assembler(numeric),
+        StandardScaler(inputCol="features_raw", outputCol="scaled", withMean=True),
+        StringIndexer(inputCol="usage_profile", outputCol="profile_index", handleInvalid="keep"),
+        OneHotEncoder(inputCol="profile_index", outputCol="profile"),  # the unknown profile is all zeros
+        VectorAssembler(inputCols=["scaled", "profile"], outputCol="features"),
+        LogisticRegression(labelCol="hazard_event", weightCol="w", regParam=1.0 / max(x.count(), 1),
+                           standardization=False, maxIter=config.LOGISTIC_ROUNDS),
+    ]).fit(x)
+
+
+def survival_predictions(model, cells, longest: int):
+    """Survival quantities of each cell from the hazards of all intervals up to the longest duration."""
+    width = config.HAZARD_INTERVAL
+    horizon = -(-longest // width) * width
+    rows = (cells.withColumn("interval_end", F.explode(F.sequence(F.lit(width), F.lit(horizon), F.lit(width))))
+            .withColumn("log_interval_end", F.log1p(F.col("interval_end").cast("double"))))
+    hazards = model.transform(rows).select("cell_id", "interval_end",
+                                           vector_to_array("probability")[1].alias("hazard"))
+    return survival.survival_distribution(hazards, horizon)
+
+
+@register("survival_top_10_model")
+def survival_top_10_model(p):
+    """Ten holdout cells of highest event probability by 500 cycles under the fitted hazard model."""
+    cells = (p.cell_features.join(survival.survival_frame(p.stats), "cell_id")
+             .join(_split(p).select("cell_id", "is_train"), "cell_id"))
+    longest = cells.agg(F.max("duration_cycles")).first()[0] or config.HAZARD_INTERVAL
+    scored = survival_predictions(fit_hazard(cells.where("is_train")), cells.where("not is_train"), longest)
+    return top_k(scored.select("cell_id", F.col("event_probability_by_500_cycles").alias("event_risk")),
+                 [F.desc("event_risk"), F.asc("cell_id")], 10)

@@ -1,4 +1,5 @@
 """No input row is cut, feature lists do not leak, the submitted checkpoint folder wins."""
+import math
 from types import SimpleNamespace
 
 import pytest
@@ -59,3 +60,27 @@ def test_soh_model_of_lowest_rmse_is_returned(spark, monkeypatch):
     monkeypatch.setattr(q_models, "fit_soh", lambda _: spark.createDataFrame(rows))
     got = q_models.train_soh(SimpleNamespace(cycle_features=None)).collect()
     assert [r["model"] for r in got] == [min(rows, key=lambda r: r["rmse"])["model"]]
+
+
+def test_survival_risk_is_the_product_of_the_hazards_to_500_cycles(spark):
+    rows = [(f"c{i}", 400 + 20 * i, int(i % 3 == 0), 0.1 * (i % 7), 0.5, 3.0 * i, 2.0, 0.1, "ab"[i % 2]) for i in range(24)]
+    cells = spark.createDataFrame(rows, "cell_id string, duration_cycles int, event_observed int, fast_charge_ratio double, "
+                                  "avg_depth_of_discharge double, high_temp_exposure_hours double, "
+                                  "low_temp_exposure_hours double, station_anomaly_rate double, usage_profile string")
+    model = q_models.fit_hazard(cells)
+    got = {r["cell_id"]: r for r in q_models.survival_predictions(model, cells, 610).collect()}
+    ends = spark.createDataFrame([(e, math.log1p(e)) for e in range(50, 651, 50)], "interval_end int, log_interval_end double")
+    left, by_500 = {}, {}
+    for r in model.transform(cells.crossJoin(ends)).orderBy("interval_end").collect():
+        left[r["cell_id"]] = left.get(r["cell_id"], 1.0) * (1.0 - float(r["probability"][1]))
+        if r["interval_end"] <= 500:
+            by_500[r["cell_id"]] = 1.0 - left[r["cell_id"]]
+    assert len({round(v, 9) for v in by_500.values()}) > 10
+    assert {c: r["event_probability_by_500_cycles"] for c, r in got.items()} == pytest.approx(by_500)
+    assert {c: r["event_probability_by_horizon"] for c, r in got.items()} == pytest.approx({c: 1 - v for c, v in left.items()})
+
+
+def test_survival_top_10_ranks_the_holdout_by_risk(spark):
+    got = q_models.survival_top_10_model(Pipeline(spark, SF)).collect()
+    risks = [r["event_risk"] for r in got]
+    assert 0 < len(got) <= 10 and risks == sorted(risks, reverse=True) and all(0 <= r <= 1 for r in risks)
