@@ -5,8 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat_rotation, exact_dedup, line_dedup, mixing, near_dedup, packing, permutation_index,
-               sharding, toxicity, warc_fixity)
+from . import (chat_rotation, conversation_repair, exact_dedup, lexical_search, line_dedup, mixing, near_dedup,
+               packing, permutation_index, sharding, token_counts, toxicity, warc_fixity)
 from ._common import table
 
 
@@ -20,6 +20,10 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": _over("documents", packing.query),
     "op2_feistel_sharding": _over("documents", sharding.query),
@@ -31,6 +35,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": _over("documents", near_dedup.query),
     "op9_line_dedup": _over("documents", line_dedup.query),
     "op10_mixing": _over("documents", mixing.query),
+    "op11_conversation_repair": _over("conversations", conversation_repair.query),
+    "op12_lexical_search": _lexical,
+    "op13_token_counts": _over("documents", token_counts.query),
 }
 
 ORACLES: dict[str, str] = {
@@ -38,4 +45,5 @@ ORACLES: dict[str, str] = {
     "op6_warc_fixity": warc_fixity.ORACLE_SQL,
     "op7_chat_rotation": chat_rotation.ORACLE_SQL,
     "op9_line_dedup": line_dedup.ORACLE_SQL,
+    "op12_lexical_search": lexical_search.ORACLE_SQL,
 }
