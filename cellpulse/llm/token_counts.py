@@ -314,10 +314,12 @@ def count_tokens(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", te
     far = texts.where(F.length("text") >= chunk).withColumn("row", F.monotonically_increasing_id())
     pieces = stored(far.select("doc_id", "n_bytes", "row", "text").mapInArrow(_cutter(arrow[cut_schema], chunk), cut_schema),
                     "chunks")
-    most = pieces.agg(F.max("part")).first()[0]
+    most, count = pieces.agg(F.max("part"), F.count(F.lit(1))).first()
     if most is None:
         return short
-    maps = pieces.repartition(F.xxhash64("row", "part")).mapInArrow(_mapper(model, arrow[map_schema]), map_schema)
+    # a fixed number: by bytes alone adaptive execution would put all of a small table's chunks into one task
+    tasks = min(count, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // 512)))
+    maps = pieces.repartition(tasks, F.xxhash64("row", "part")).mapInArrow(_mapper(model, arrow[map_schema]), map_schema)
     while most:
         maps = (maps.withColumn("grp", F.floor(F.col("part") / FAN)).groupBy("row", "grp")
                 .applyInPandas(_dropping_group(_composer(model)), map_schema))
