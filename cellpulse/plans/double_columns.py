@@ -129,4 +129,10 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'threshold_table': ['threshold', 'precision', 'recall', 'cost'],
     'train_soh': ['mae', 'rmse', 'r2'],
     'validation_note': [],
+    'bootstrap_effect': ['effect', 'lo', 'hi'],
+    'holdout_precision_by_group': ['average_precision'],
+    'importance_top_n': ['importance'],
+    'passfail_concentration': ['fail_rate'],
+    'passfail_feature_means': ['mean'],
+    'permutation_importance': ['importance', 'spread'],
 }
