@@ -24,7 +24,8 @@ smallest; more copies can never be among the nearest ``top``).
 Defined cases: vectors that are null, zero, of another dimension than most, or
 hold null or non-finite components take no part; ties go to the smaller id;
 fewer than ``top`` candidates give fewer rows; an empty table gives none.
-Rows that repeat an id are one vector each.  Other columns are ignored.
+Rows that repeat an id are one vector each; rows without an id are candidates
+whose id is null, after all others of equal score.  Other columns are ignored.
 Skew: copies are limited map-side, blocks are dealt by hash.
 """
 from __future__ import annotations
@@ -39,6 +40,8 @@ from pyspark.sql import functions as F
 from ._common import stored
 
 PIVOTS, PREFIX, PROBE, BLOCK, QUERIES = 256, 96, 64, 16_384, 1024
+#: Stands for a null id, after all others.
+NO_ID = (1 << 63) - 1
 #: Rows the pivots are chosen from.
 SAMPLE = 4096
 #: Share of a block that is reranked exactly at first, and the least number of vectors.
@@ -46,9 +49,9 @@ RERANK, RERANK_MIN = 0.15, 600
 
 
 def usable(embeddings: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    v = embeddings.select(F.col(id_col).cast("long").alias("vec_id"),
+    v = embeddings.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("vec_id"),
                           F.col(vector_col).cast("array<double>").alias("v")).where(
-        F.col("vec_id").isNotNull() & F.col("v").isNotNull()
+        F.col("v").isNotNull()
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0))
     dims = v.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
@@ -103,7 +106,7 @@ def _poster(pivots: np.ndarray, prefix: int, top_norm: float):
         ends = np.searchsorted(flat[order], np.arange(len(pivots) + 1))
         files = [(p, owner[a:b].tobytes(), place[a:b].tobytes())
                  for p, (a, b) in enumerate(zip(ends[:-1], ends[1:])) if b > a]
-        files.append((-1, rows["vec_id"].to_numpy(np.int64).tobytes(), x.tobytes()))
+        files.append((-1, rows[["vec_id", "row"]].to_numpy(np.int64).T.tobytes(), x.tobytes()))
         out = pd.DataFrame(files, columns=["pivot", "owners", "places"])
         out.insert(0, "block", rows["block"].iloc[0])
         return out
@@ -112,17 +115,21 @@ def _poster(pivots: np.ndarray, prefix: int, top_norm: float):
 
 def _rerank(near: np.ndarray, large: np.ndarray, ids: np.ndarray, x: np.ndarray, vec: np.ndarray, take: int, count: int):
     """Rows and scores of the best ``count``, reranking ``large``, ``take`` rows and more while the cut is unclear."""
-    ordered = np.sort(near)[::-1]
+    met = np.cumsum(np.bincount(near)[::-1])
+
+    def nth(k: int) -> int:
+        """The ``k``-th largest value of ``near``, from 1."""
+        return len(met) - 1 - int(np.searchsorted(met, k))
     score, done = np.zeros(len(ids)), np.zeros(len(ids), dtype=bool)
     while True:
-        fresh = np.flatnonzero(((near >= ordered[take - 1]) | large) & ~done)
+        fresh = np.flatnonzero(((near >= nth(take)) | large) & ~done)
         score[fresh] = (x[fresh] * vec).sum(axis=1)
         done[fresh] = True
         cand = np.flatnonzero(done)
         if len(cand) > count:
             cand = cand[score[cand] >= np.partition(score[cand], -count)[-count]]
         best = cand[np.lexsort((ids[cand], -score[cand]))[:count]]
-        if done.all() or near[best].min() > ordered[take // 2]:
+        if done.all() or near[best].min() > nth(take // 2 + 1):
             return best, score[best]
         take = min(len(ids), 2 * take)
 
@@ -130,12 +137,15 @@ def _rerank(near: np.ndarray, large: np.ndarray, ids: np.ndarray, x: np.ndarray,
 def _searcher(pivots: np.ndarray, prefix: int, probe: int, top: int, share: float, least: int):
     def search(files: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if files.empty or queries.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "vec_id": [], "rep": [], "score": []})
         base = files[files["pivot"] < 0].iloc[0]
-        ids = np.frombuffer(base["owners"], dtype=np.int64)
+        ids, keys = np.frombuffer(base["owners"], dtype=np.int64).reshape(2, -1)
         x = np.frombuffer(base["places"], dtype=np.float64).reshape(len(ids), -1)
-        lists = {p: (np.frombuffer(o, dtype=np.int32), np.frombuffer(s, dtype=np.uint8).astype(np.int32))
-                 for p, o, s in zip(files["pivot"], files["owners"], files["places"]) if p >= 0}
+        # a block's files hold a good share of its rows each, so they are laid out as rows of places, ``prefix`` where absent
+        laid = np.full((len(pivots), len(ids)), prefix, dtype=np.uint8)
+        for p, o, s in zip(files["pivot"], files["owners"], files["places"]):
+            if p >= 0:
+                laid[p, np.frombuffer(o, dtype=np.int32)] = np.frombuffer(s, dtype=np.uint8)
         q = _matrix(queries["v"])
         ranking = _ranking(q @ pivots.T, probe)
         take = min(len(ids), max(least, math.ceil(share * len(ids))))
@@ -143,23 +153,22 @@ def _searcher(pivots: np.ndarray, prefix: int, probe: int, top: int, share: floa
         large[np.argsort(-np.einsum("ij,ij->i", x, x), kind="stable")[:least]] = True
         got = []
         for qid, vec, rank in zip(queries["vec_id"], q, ranking):
-            near = np.zeros(len(ids), dtype=np.int32)
-            for i, p in enumerate(rank):
-                if p in lists:
-                    owner, place = lists[p]
-                    near[owner] += prefix - np.maximum(place, i)
+            apart = np.maximum(laid[rank], np.arange(len(rank), dtype=np.uint8)[:, None])
+            near = prefix * len(rank) - apart.sum(axis=0, dtype=np.uint16).astype(np.int64)
             best, score = _rerank(near, large, ids, x, vec, take, top + 1)
-            got.append(pd.DataFrame({"query_id": qid, "vec_id": ids[best], "score": score}))
+            got.append(pd.DataFrame({"query_id": qid, "vec_id": ids[best], "rep": keys[best], "score": score}))
         return pd.concat(got)
     return search
 
 
 def build(vectors: DataFrame, top: int) -> tuple[DataFrame, DataFrame, np.ndarray, int]:
     """(inverted files, copies, pivots, blocks) of the usable vectors."""
-    same = Window.partitionBy("v").orderBy("vec_id")
-    held = stored(vectors.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= top + 1), "held")
-    entries = held.where("nth = 1").select("vec_id", "v")
-    copies = held.withColumn("rep", F.min("vec_id").over(Window.partitionBy("v"))).select("rep", "vec_id")
+    same = Window.partitionBy("v").orderBy("vec_id", "row")
+    held = vectors.withColumn("row", F.monotonically_increasing_id()).withColumn("nth", F.row_number().over(same)).where(
+        F.col("nth") <= top + 1)
+    held = stored(held.withColumn("rep", F.first("row").over(same)), "held")
+    entries = held.where("nth = 1").select("vec_id", "row", "v")
+    copies = held.select("rep", "vec_id")
     norm2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     total, top_norm = entries.agg(F.count(F.lit(1)), F.sqrt(F.max(norm2))).first()
     top_norm = float(top_norm or 0.0)
@@ -175,7 +184,7 @@ def build(vectors: DataFrame, top: int) -> tuple[DataFrame, DataFrame, np.ndarra
 def search(embeddings: DataFrame, queries: DataFrame, top: int = 20, id_col: str = "vec_id",
            vector_col: str = "embedding", share: float = RERANK) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest found of each row of ``queries``."""
-    schema = "query_id long, vec_id long, score double"
+    schema = "query_id long, vec_id long, rep long, score double"
     vectors = stored(usable(embeddings, id_col, vector_col), "usable")
     asked = stored(usable(queries, id_col, vector_col), "queries")
     count = asked.count()
@@ -193,10 +202,10 @@ def search(embeddings: DataFrame, queries: DataFrame, top: int = 20, id_col: str
              .applyInPandas(_searcher(pivots, prefix, min(PROBE, prefix), top, share, RERANK_MIN), schema))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= top + 1)
-    spread = (found.withColumnRenamed("vec_id", "rep").join(copies, "rep")
+    spread = (found.drop("vec_id").join(copies, "rep")
               .where(F.col("vec_id") != F.col("query_id"))
               .withColumn("rank", F.row_number().over(best).cast("int")).where(F.col("rank") <= top))
-    return spread.select("query_id", "rank", "vec_id", "score")
+    return spread.select("query_id", "rank", F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id"), "score")
 
 
 def query(embeddings: DataFrame) -> DataFrame:

@@ -17,7 +17,8 @@ one replica lacks differs; two empty replicas give an empty report; other
 columns are ignored.
 Skew: groups have at most ``FANOUT`` children, segments a bounded number of ids;
 the leaf positions set aside for a segment grow with the fullest one, so that
-segments never overlap.  The SQL has the usual room and suits segments up to it.
+segments never overlap.  The SQL has the usual room and suits segments up to it,
+and ids from 0; with negative ids positions count from the first segment.
 """
 from __future__ import annotations
 
@@ -43,9 +44,13 @@ def records(pages: DataFrame) -> DataFrame:
     p = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     p = p.select("page_id", "url", "html", _record(F.col("url"), F.col("page_id"), F.col("html")).alias("record"),
                  F.coalesce(F.floor(F.col("page_id") / SEGMENT_PAGES), F.lit(NO_ID_SEGMENT)).cast("long").alias("segment"))
-    room, most = SEGMENT_ROOM, p.groupBy("segment").count().agg(F.max("count")).first()[0] or 0
-    while room < most:  # repeated or missing ids can fill a segment beyond its usual room
+    named = F.when(F.col("segment") < NO_ID_SEGMENT, F.col("segment"))
+    most, low, high = p.groupBy("segment").count().agg(F.max("count"), F.min(named), F.max(named)).first()
+    room, low, high = SEGMENT_ROOM, min(0, low or 0), max(0, high or 0)
+    while room < (most or 0):  # repeated or missing ids can fill a segment beyond its usual room
         room *= FANOUT
+    if room > SEGMENT_ROOM or low < 0:  # positions count from the first segment, the archive without ids follows the last
+        p = p.withColumn("segment", F.least(F.col("segment"), F.lit(high + 1)) - low)
     order = Window.partitionBy("segment").orderBy("page_id", "url", "html")
     size = F.octet_length("record").cast("long")
     end = F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0))

@@ -258,6 +258,20 @@ def test_warc_fixity(spark):
     assert same_as_sql(warc_fixity.query(pages), warc_fixity.ORACLE_SQL, pages=pages)
 
 
+def test_warc_fixity_negative_and_missing_ids(spark, monkeypatch):
+    ddl = "page_id long, url string, html string"
+    rows = [(i, f"u{i}", "h" * 500 + str(i)) for i in (-5000, -5, -4, -1, 0, 7)] + [(None, f"n{i}", f"x{i}") for i in range(40)]
+    for room in (4096, 16):
+        monkeypatch.setattr(warc_fixity, "SEGMENT_ROOM", room)
+        recs = warc_fixity.records(spark.createDataFrame(rows, ddl))
+        assert sorted(r["position"] for r in recs.collect())[0] >= 0
+        a = stored_leaves = warc_fixity.leaves(recs)
+        b = warc_fixity.leaves(recs, F.when(F.col("page_id") == -4, F.lit("?")).otherwise(F.col("record")))
+        n = warc_fixity.depth(a, b)
+        report = warc_fixity.audit(warc_fixity.tree(stored_leaves, n, "a"), warc_fixity.tree(b, n, "b"), n)
+        assert [r["page_id"] for r in report.where("level = 0 and not equal").collect()] == [-4]
+
+
 def test_warc_fixity_finds_the_damaged_record(spark):
     rows = [(i, f"u{i}", f"<p>{i}</p>" if i % 7 else None, 1) for i in range(300)] + [(None, None, None, 1)] + [(5, "u5", "<p>5</p>", 1)]
     recs = warc_fixity.records(spark.createDataFrame(rows, "page_id long, url string, html string, node int"))

@@ -231,3 +231,16 @@ def test_transducer_starts_anew_when_full(monkeypatch, library):
     t = counts.Transducer(counts.transducer().scores)
     text = LONG[:6000]
     assert t.count(text) == len(library.encode(text)) and len(t.states) <= 50
+
+
+# 3 rows without an id are candidates -------------------------------------------------------------------------------
+def test_index_keeps_rows_without_an_id(spark):
+    from cellpulse.llm import permutation_index
+    r = random.Random(9)
+    rows = [(i if i % 3 else None, [r.gauss(0, 1) for _ in range(8)]) for i in range(1, 90)] + [(20, [1.0] * 8), (None, [1.0] * 8), (7, [2.0] + [1.0] * 7)]
+    got = permutation_index.query(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    for q in {x["query_id"] for x in got} - {20}:
+        own = next(v for i, v in rows if i == q)
+        want = sorted((-sum(a * b for a, b in zip(own, v)), i is None, i or 0) for i, v in rows if i != q)[:20]
+        assert [(x["vec_id"] is None, x["vec_id"] or 0) for x in sorted((x for x in got if x["query_id"] == q), key=lambda x: x["rank"])] == [
+            (n, i) for _, n, i in want]
