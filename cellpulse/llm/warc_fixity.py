@@ -39,11 +39,17 @@ def _record(url: Column, page_id: Column, html: Column) -> Column:
                     F.octet_length(html).cast("string"), F.lit("\r\n\r\n"), html, F.lit("\r\n\r\n"))
 
 
-def records(pages: DataFrame) -> DataFrame:
-    """position (global, ordered), segment, page_id, range_start, range_end, record."""
+def _read(pages: DataFrame) -> DataFrame:
+    """page_id, url, html, record, size: nulls filled, records rendered."""
     p = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html"))
-    p = p.select("page_id", "url", "html", _record(F.col("url"), F.col("page_id"), F.col("html")).alias("record"),
-                 F.coalesce(F.floor(F.col("page_id") / SEGMENT_PAGES), F.lit(NO_ID_SEGMENT)).cast("long").alias("segment"))
+    record = _record(F.col("url"), F.col("page_id"), F.col("html"))
+    return p.select("*", record.alias("record")).withColumn("size", F.octet_length("record").cast("long"))
+
+
+def _placed(p: DataFrame, keep: list[str]) -> DataFrame:
+    """position (global, ordered), segment, page_id, range_start, range_end and ``keep``; html travels only where it must order
+    records of equal id and url."""
+    p = p.withColumn("segment", F.coalesce(F.floor(F.col("page_id") / SEGMENT_PAGES), F.lit(NO_ID_SEGMENT)).cast("long"))
     named = F.when(F.col("segment") < NO_ID_SEGMENT, F.col("segment"))
     most, low, high = p.groupBy("segment").count().agg(F.max("count"), F.min(named), F.max(named)).first()
     room, low, high = SEGMENT_ROOM, min(0, low or 0), max(0, high or 0)
@@ -51,13 +57,21 @@ def records(pages: DataFrame) -> DataFrame:
         room *= FANOUT
     if room > SEGMENT_ROOM or low < 0:  # positions count from the first segment, the archive without ids follows the last
         p = p.withColumn("segment", F.least(F.col("segment"), F.lit(high + 1)) - low)
+    place = F.xxhash64("page_id", "url")
+    again = stored(p.groupBy(place.alias("again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("again"), "again")
+    p = p.withColumn("place", place).join(small_side(again, 24), F.col("place") == F.col("again"), "left")
+    p = p.select("segment", "page_id", "url", F.when(F.col("again").isNotNull(), F.col("html")).alias("html"), "size", *keep)
     order = Window.partitionBy("segment").orderBy("page_id", "url", "html")
-    size = F.octet_length("record").cast("long")
-    end = F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return p.select("segment", "page_id", "record", (end - size).alias("range_start"), end.alias("range_end"),
+    end = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return p.select("segment", "page_id", *keep, (end - F.col("size")).alias("range_start"), end.alias("range_end"),
                     (F.col("segment") * room + F.row_number().over(order) - 1).alias("position"))
 
 
+def records(pages: DataFrame) -> DataFrame:
+    """position (global, ordered), segment, page_id, range_start, range_end, record."""
+    return _placed(_read(pages), ["record"])
+
+
 def leaves(recs: DataFrame, record: Column | None = None) -> DataFrame:
     held = F.col("record") if record is None else record
     return recs.select(F.lit(0).alias("level"), F.col("position").alias("node"), "range_start", "range_end",
@@ -124,10 +138,12 @@ def damaged(digest: Column, record: Column) -> Column:
 
 
 def query(pages: DataFrame) -> DataFrame:
-    recs = records(pages)
-    a = stored(leaves(recs), "leaves_a")
-    b = stored(leaves(recs, damaged(F.sha2("record", 256), F.col("record"))), "leaves_b")
-    levels = depth(a, b)
+    p = _read(pages).withColumn("digest_a", F.sha2("record", 256)).withColumn(
+        "digest_b", F.sha2(damaged(F.col("digest_a"), F.col("record")), 256))
+    placed = stored(_placed(p, ["digest_a", "digest_b"]), "placed")  # texts stay where they were read
+    a, b = (placed.select(F.lit(0).alias("level"), F.col("position").alias("node"), "range_start", "range_end",
+                          F.col(f"digest_{s}").alias("digest"), "page_id") for s in "ab")
+    levels = depth(a)
     return audit(tree(a, levels, "a"), tree(b, levels, "b"), levels)
 
 
