@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
-from . import q_evaluate, q_investigate, q_models, q_pipeline, q_public, q_quality, q_reports  # noqa: F401  (register queries)
+from . import q_evaluate, q_investigate, q_models, q_pipeline, q_public, q_quality, q_reports, q_sinks  # noqa: F401  (register queries)
 from .double_columns import DOUBLE_COLUMNS
 from .pipeline import pipeline
 from .registry import QUERIES, finish, wrap_sql

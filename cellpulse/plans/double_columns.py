@@ -135,4 +135,6 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'passfail_concentration': ['fail_rate'],
     'passfail_feature_means': ['mean'],
     'permutation_importance': ['importance', 'spread'],
+    'stream_cycle_agg': ['mean_voltage', 'max_temperature'],
+    'stream_score': ['predicted_soh'],
 }
