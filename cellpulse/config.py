@@ -100,6 +100,9 @@ SOH_FOREST_LEAF = 3
 FAILURE_FOREST_TREES = 400
 FAILURE_FOREST_LEAF = 2
 FOREST_DEPTH = 30                 # no limit in the published pipeline; Spark grows no deeper
+# What the registered regressor queries fit: each boosting round and tree level is a pass over all rows, so
+# fewer, larger steps and shallower trees.
+QUERY_SIZES = {"rounds": 30, "trees": 40, "depth": 10, "step": 0.2}
 LOGISTIC_ROUNDS = 1000
 
 # Human label and adverse direction (True: high value is adverse) per driver feature.

@@ -137,4 +137,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'permutation_importance': ['importance', 'spread'],
     'stream_cycle_agg': ['mean_voltage', 'max_temperature'],
     'stream_score': ['predicted_soh'],
+    'battery_rollup_b': ['initial_capacity_ah', 'final_capacity_ah', 'capacity_loss_pct', 'max_discharge_temp_c'],
+    'drift_by_cohort': ['probability_shift', 'soh_shift', 'alert_rate_shift'],
+    'passfail_medians_iqr': ['median', 'iqr'],
 }

@@ -3,11 +3,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import contracts, investigate
+from .. import config
+from ..operators import contracts, investigate, scoring
 from ..operators.carry import history_join, month
+from ..operators.quantiles import exact_quantiles
 from ..session import cut_lineage
 from ..sources import production
-from .q_evaluate import _scored_holdout, _with_split
+from .q_evaluate import _scored_holdout, _split, _with_split
+from .q_public import _pub
 from .registry import register
 
 
@@ -264,3 +267,86 @@ def contract_conformance(p):
                     ratio.alias("fast_charge_ratio"), F.col("high_temp_exposure_hours").cast("string").alias("high_temp_exposure_hours"),
                     "usage_profile")
     return contracts.conformance(text, "usage_telemetry", contracts.CONTRACT["usage_telemetry"])
+
+
+# ---- further report queries -------------------------------------------------------------------------------------------
+@register("passfail_medians_iqr", f"""
+SELECT y AS escalation_required, feature, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr
+FROM ({_LONG_SQL}) WHERE x IS NOT NULL GROUP BY y, feature""")
+def passfail_medians_iqr(p):
+    long = p.cell_features.select("escalation_required", F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in _EFFECTS])).alias("v")).select(
+        "escalation_required", "v.feature", "v.x")
+    q = exact_quantiles(long, "x", [0.25, 0.5, 0.75], ["escalation_required", "feature"])
+
+    def at(prob: float):
+        return F.max(F.when(F.col("prob") == prob, F.col("quantile")))
+    return q.groupBy("escalation_required", "feature").agg(at(0.5).alias("median"), (at(0.75) - at(0.25)).alias("iqr"))
+
+
+@register("battery_rollup_b", _pub("""
+SELECT battery_id, count(*) AS snapshots, min(cycle_index) AS first_cycle_index, max(cycle_index) AS last_cycle_index,
+  arg_min(capacity_ah, cycle_index) AS initial_capacity_ah, arg_max(capacity_ah, cycle_index) AS final_capacity_ah,
+  CASE WHEN arg_min(capacity_ah, cycle_index) <> 0 THEN
+    (arg_min(capacity_ah, cycle_index) - arg_max(capacity_ah, cycle_index)) / arg_min(capacity_ah, cycle_index) END AS capacity_loss_pct,
+  min(cycle_index) FILTER (WHERE soh < 0.8) AS first_cycle_below_80pct_soh, max(max_discharge_temp_c) AS max_discharge_temp_c
+FROM (SELECT * REPLACE (CASE WHEN battery_id LIKE '%7' AND cycle_index = 0 THEN 0.0::DOUBLE ELSE capacity_ah END AS capacity_ah)
+      FROM pubcyc) WHERE cycle_index % 5 = 0 GROUP BY battery_id"""))
+def battery_rollup_b(p):
+    """Every fifth cycle as a snapshot; the batteries whose number ends in 7 lack their first capacity (read as 0), so their loss is null."""
+    from .q_public import _public_cycles
+    c = _public_cycles(p).where("cycle_index % 5 = 0").withColumn("capacity_ah", F.when(
+        F.col("battery_id").endswith("7") & (F.col("cycle_index") == 0), F.lit(0.0)).otherwise(F.col("capacity_ah")))
+    return snapshot_rollup(c)
+
+
+@register("alert_vs_outcome", """
+SELECT p.risk_tier, count(*) AS cells, count(*) FILTER (WHERE f.escalation_required = 1) AS confirmed,
+  count(*) FILTER (WHERE p.risk_tier IN ('High', 'Critical') AND f.escalation_required = 0) AS false_alerts,
+  count(*) FILTER (WHERE p.risk_tier NOT IN ('High', 'Critical') AND f.escalation_required = 1) AS missed
+FROM predictions p JOIN failure_events f USING (cell_id) GROUP BY p.risk_tier""")
+def alert_vs_outcome(p):
+    x = p.predictions.select("cell_id", "risk_tier").join(p.failure_events.select("cell_id", "escalation_required"), "cell_id")
+    alert, event = F.col("risk_tier").isin("High", "Critical"), F.col("escalation_required") == 1
+    return x.groupBy("risk_tier").agg(F.count(F.lit(1)).alias("cells"), F.count(F.when(event, 1)).alias("confirmed"),
+                                      F.count(F.when(alert & ~event, 1)).alias("false_alerts"),
+                                      F.count(F.when(~alert & event, 1)).alias("missed"))
+
+
+@register("drift_by_cohort", _with_split("""
+, g AS (SELECT unnest(['lot', 'station']) AS grouping_name, unnest([f.lot_id, f.station_id]) AS group_value, s.is_train, q.p, c.final_soh
+        FROM split s JOIN factory f USING (cell_id) JOIN fprob q USING (cell_id) JOIN cell_features c USING (cell_id))
+SELECT grouping_name, group_value, count(*) FILTER (WHERE is_train) AS reference_cells, count(*) FILTER (WHERE NOT is_train) AS current_cells,
+  avg(p) FILTER (WHERE NOT is_train) - avg(p) FILTER (WHERE is_train) AS probability_shift,
+  avg(final_soh) FILTER (WHERE NOT is_train) - avg(final_soh) FILTER (WHERE is_train) AS soh_shift,
+  avg(CAST(p >= 0.55::DOUBLE AS DOUBLE)) FILTER (WHERE NOT is_train) - avg(CAST(p >= 0.55::DOUBLE AS DOUBLE)) FILTER (WHERE is_train) AS alert_rate_shift
+FROM g GROUP BY grouping_name, group_value"""))
+def drift_by_cohort(p):
+    """Shift of probability, health and alert rate from the reference to the current cells, by lot and by station."""
+    scored = _fleet_probability(p).join(_split(p).select("cell_id", "is_train"), "cell_id").join(
+        p.factory.select("cell_id", "lot_id", "station_id"), "cell_id").join(p.cell_features.select("cell_id", "final_soh"), "cell_id")
+    long = scored.select("is_train", "p", "final_soh", F.explode(F.array(
+        F.struct(F.lit("lot").alias("grouping_name"), F.col("lot_id").alias("group_value")),
+        F.struct(F.lit("station").alias("grouping_name"), F.col("station_id").alias("group_value")))).alias("g"))
+    here, alert = F.col("is_train"), (F.col("p") >= 0.55).cast("double")
+
+    def shift(x):
+        return F.avg(F.when(~here, x)) - F.avg(F.when(here, x))
+    return long.groupBy("g.grouping_name", "g.group_value").agg(
+        F.count(F.when(here, 1)).alias("reference_cells"), F.count(F.when(~here, 1)).alias("current_cells"),
+        shift(F.col("p")).alias("probability_shift"), shift(F.col("final_soh")).alias("soh_shift"), shift(alert).alias("alert_rate_shift"))
+
+
+def _fleet_probability(p):
+    """cell_id, p: the unrounded failure probability of every cell."""
+    return scoring.failure_baseline(p.cell_features, p.cell_features).select("cell_id", F.col("failure_probability").alias("p"))
+
+
+def snapshot_rollup(c):
+    """One row per battery from its capacity snapshots; the loss is null where the first capacity is 0."""
+    first, last = F.min_by("capacity_ah", "cycle_index"), F.max_by("capacity_ah", "cycle_index")
+    return c.groupBy("battery_id").agg(
+        F.count(F.lit(1)).alias("snapshots"), F.min("cycle_index").alias("first_cycle_index"), F.max("cycle_index").alias("last_cycle_index"),
+        first.alias("initial_capacity_ah"), last.alias("final_capacity_ah"), F.try_divide(first - last, first).alias("capacity_loss_pct"),
+        F.min(F.when(F.col("soh") < config.SOH_EOL_THRESHOLD, F.col("cycle_index"))).alias("first_cycle_below_80pct_soh"),
+        F.max("max_discharge_temp_c").alias("max_discharge_temp_c"))

@@ -13,6 +13,7 @@ from ..functions.scalar import risk_tier
 from ..operators import evaluate as ev
 from ..operators import survival
 from ..operators.reports import top_k
+from ..session import cut_lineage
 from .q_evaluate import _split
 from .registry import register
 
@@ -74,42 +75,68 @@ def train_failure(p):
     return ev.classification_metrics(test, "label", "p").select(F.lit(name).alias("model"), "*")
 
 
-def fit_soh(cycle_features, rounds: int = config.SOH_BOOST_ROUNDS, trees: int = config.SOH_FOREST_TREES,
-            depth: int = config.FOREST_DEPTH):
-    """Holdout metrics of the linear, boosted and forest SOH regressors (cells go wholly to one side)."""
-    cf = _grouped_split(cycle_features)
-    train, test = cf.where(~F.col("is_test")), cf.where(F.col("is_test"))
-    stages = [_assembler(config.SOH_FEATURES)]
+def fit_regressors(table, features, target: str, rounds: int = config.SOH_BOOST_ROUNDS, trees: int = config.SOH_FOREST_TREES,
+                   depth: int = config.FOREST_DEPTH, step: float = config.SOH_BOOST_STEP):
+    """Holdout metrics of linear, boosted and forest regressors of ``target``, with each one's error on a validation fold.
+
+    Cells go wholly to the holdout, the validation fold or the training rows; the table is stored once, the fits read it
+    from there.  Rows without the target take no part."""
+    stored = cut_lineage(table.where(F.col(target).isNotNull()).select(
+        "cell_id", F.col(target).cast("double").alias(target), *[c for c in features if c != target]))
+    place = F.pmod(F.xxhash64(F.col("cell_id"), F.lit(config.SEED)), F.lit(10000)) / 10000
+    test, valid = config.TEST_FRACTION, config.TEST_FRACTION + (1 - config.TEST_FRACTION) * config.TEST_FRACTION
+    folds = {"test": stored.where(place < test), "valid": stored.where((place >= test) & (place < valid)),
+             "train": stored.where(place >= valid)}
+    stages = [_assembler(features)]
     cands = {
-        "LinearRegression": MLPipeline(stages=stages + [
-            StandardScaler(inputCol="features_raw", outputCol="features"),
-            LinearRegression(labelCol="soh_current")]),
-        "GradientBoosting": MLPipeline(stages=stages + [
-            GBTRegressor(featuresCol="features_raw", labelCol="soh_current", maxIter=rounds, seed=config.SEED,
-                         maxDepth=config.SOH_BOOST_DEPTH, stepSize=config.SOH_BOOST_STEP)]),
-        "RandomForest": MLPipeline(stages=stages + [
-            RandomForestRegressor(featuresCol="features_raw", labelCol="soh_current", numTrees=trees, maxDepth=depth,
-                                  minInstancesPerNode=config.SOH_FOREST_LEAF, featureSubsetStrategy="all",
-                                  seed=config.SEED)]),
+        "LinearRegression": [StandardScaler(inputCol="features_raw", outputCol="features"), LinearRegression(labelCol=target)],
+        "GradientBoosting": [GBTRegressor(featuresCol="features_raw", labelCol=target, maxIter=rounds, seed=config.SEED,
+                                          maxDepth=config.SOH_BOOST_DEPTH, stepSize=step)],
+        "RandomForest": [RandomForestRegressor(featuresCol="features_raw", labelCol=target, numTrees=trees, maxDepth=depth,
+                                               minInstancesPerNode=config.SOH_FOREST_LEAF, featureSubsetStrategy="all",
+                                               seed=config.SEED)],
     }
     rows = None
-    for name, pipe in cands.items():
-        m = pipe.fit(train)
-        met = ev.regression_metrics(m.transform(test), "soh_current", "prediction").select(
-            F.lit(name).alias("model"), "*")
+    for name, last in cands.items():
+        m = MLPipeline(stages=stages + last).fit(folds["train"])
+        met = ev.regression_metrics(m.transform(folds["test"]), target, "prediction").select(F.lit(name).alias("model"), "*")
+        checked = ev.regression_metrics(m.transform(folds["valid"]), target, "prediction").select(F.col("rmse").alias("valid_rmse"))
+        met = met.crossJoin(checked)  # one row beside one row
         rows = met if rows is None else rows.unionByName(met)
     return rows
 
 
+def fit_soh(cycle_features, rounds: int = config.SOH_BOOST_ROUNDS, trees: int = config.SOH_FOREST_TREES,
+            depth: int = config.FOREST_DEPTH, *, step: float = config.SOH_BOOST_STEP):
+    return fit_regressors(cycle_features, config.SOH_FEATURES, "soh_current", rounds, trees, depth, step)
+
+
 def lowest_rmse(rows):
-    """The row of lowest RMSE (an undefined one last, ties by name)."""
-    return rows.orderBy(F.asc_nulls_last(F.nanvl("rmse", F.lit(None))), "model").limit(1)
+    """The row of lowest error on the validation fold (an undefined one last, ties by name)."""
+    return rows.orderBy(F.asc_nulls_last(F.nanvl("valid_rmse", F.lit(None))), "model").limit(1)
 
 
 @register("train_soh")
 def train_soh(p):
-    """Linear / boosted / forest SOH regressors on cycle features (grouped by cell); lowest RMSE wins."""
-    return lowest_rmse(fit_soh(p.cycle_features))
+    """Linear / boosted / forest SOH regressors on cycle features (grouped by cell): the one of least validation error, on the holdout."""
+    return lowest_rmse(fit_soh(p.cycle_features, **config.QUERY_SIZES))
+
+
+@register("train_rul")
+def train_rul(p):
+    """Remaining-cycle regressors on cycle features, chosen and measured like :func:`train_soh`."""
+    return lowest_rmse(fit_regressors(p.cycle_features, config.RUL_FEATURES, "remaining_cycles", **config.QUERY_SIZES))
+
+
+@register("train_early_warning")
+def train_early_warning(p):
+    """Holdout metrics of the early-warning classifier; cells without a whole early window take no part."""
+    s = _split(p).select("cell_id", "is_train")
+    full = p.early_warning_features.join(s, "cell_id").dropna(subset=list(config.EARLY_WARNING_FEATURES))
+    name, model, _ = fit_failure_classifier(full.where("is_train"), config.EARLY_WARNING_FEATURES)
+    test = model.transform(full.where("not is_train").withColumn("label", F.col("escalation_required").cast("double")))
+    return ev.classification_metrics(test.withColumn("p", vector_to_array("probability")[1]), "label", "p").select(
+        F.lit(name).alias("model"), "*")
 
 
 @register("score_cells_model")

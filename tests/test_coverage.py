@@ -55,11 +55,12 @@ def test_models_have_the_published_size():
 
 
 def test_soh_model_of_lowest_rmse_is_returned(spark, monkeypatch):
-    rows = q_models.fit_soh(Pipeline(spark, SF).cycle_features, rounds=2, trees=2, depth=3).collect()
+    made = q_models.fit_soh(Pipeline(spark, SF).cycle_features, rounds=2, trees=2, depth=3)
+    rows = made.collect()
     assert [r["model"] for r in rows] == ["LinearRegression", "GradientBoosting", "RandomForest"]
-    monkeypatch.setattr(q_models, "fit_soh", lambda _: spark.createDataFrame(rows))
+    monkeypatch.setattr(q_models, "fit_soh", lambda *_, **sizes: spark.createDataFrame(rows, made.schema))
     got = q_models.train_soh(SimpleNamespace(cycle_features=None)).collect()
-    assert [r["model"] for r in got] == [min(rows, key=lambda r: r["rmse"])["model"]]
+    assert [r["model"] for r in got] == [min(rows, key=lambda r: (r["valid_rmse"] is None, r["valid_rmse"], r["model"]))["model"]]
 
 
 def test_survival_risk_is_the_product_of_the_hazards_to_500_cycles(spark):
