@@ -18,7 +18,7 @@
 
 Defined cases: null text has size 0; a source without words has target 0 and
 takes nothing; null is a source of its own; rows that repeat an id move
-together; an empty table gives an empty result; reruns, other partitionings
+together, as do rows without an id that repeat a text; an empty table gives an empty result; reruns, other partitionings
 and cluster sizes agree.  Further columns are ignored, or kept by :func:`mixed`.
 Skew: a hot source has proportionally more blocks; block prefix sums run over
 super-blocks of ``SUPER`` blocks, so no task sees a whole source.  The driver
@@ -42,8 +42,10 @@ def words(text: str) -> Column:
     return F.regexp_count(text_or_empty(text), F.lit("[^" + SPACE_CLASS[1:-1] + "]+")).cast("long")
 
 
-def _doc_hash(id_col: str, seed: int) -> Column:
-    return F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
+def _doc_hash(id_col: str, text_col: str, seed: int) -> Column:
+    """By id; rows without one go by their text, so that they do not all move as one."""
+    text = F.concat(F.lit("text:"), F.xxhash64(text_or_empty(text_col)).cast("string"))
+    return F.xxhash64(F.coalesce(F.col(id_col).cast("string"), text), F.lit(seed))
 
 
 def source_targets(slim: DataFrame, share: float, max_repeat: float) -> DataFrame:
@@ -120,9 +122,9 @@ class Mix:
 
     def __init__(self, docs: DataFrame, share: float = 1.5, max_repeat: float = 2.0, shards: int = 16,
                  seed: int = 42, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text"):
-        self.id_col, self.source_col, self.seed, self.shards = id_col, source_col, seed, shards
+        self.id_col, self.source_col, self.text_col, self.seed, self.shards = id_col, source_col, text_col, seed, shards
         self.slim = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                                       words(text_col).alias("size"), _doc_hash(id_col, seed).alias("h")), "sized")
+                                       words(text_col).alias("size"), _doc_hash(id_col, text_col, seed).alias("h")), "sized")
         targets = source_targets(self.slim, share, max_repeat)
         ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
         self.sources = stored(
@@ -177,10 +179,9 @@ class Mix:
                             .select("source_rank", "first", "ends"), "draws")
 
     def attach(self, df: DataFrame) -> DataFrame:
-        """``df`` (with id and source) plus source_size, target, copies and the shard of each copy."""
-        h = _doc_hash(self.id_col, self.seed)
+        """``df`` (with its source and hash ``h``) plus source_size, target, copies and the shard of each copy."""
         b = self.blocks.drop("rest", "base").withColumnRenamed("blocks", "in_all")
-        out = self._dealt(df, self.source_col, h).withColumn("h", h)
+        out = self._dealt(df, self.source_col, F.col("h"))
         out = out.join(small_side(b, 64), ["source_rank", "block"])
         out = out.join(F.broadcast(self.picked.withColumn("picked", F.lit(True))), ["source_rank", "h"], "left")
         out = out.join(small_side(self.draws, 32 + 8 * self.shards), "source_rank")
@@ -192,7 +193,7 @@ class Mix:
                 .withColumn("shards", F.when(F.col("copies") > 0, shard).otherwise(F.array().cast("array<int>"))))
 
     def per_document(self) -> DataFrame:
-        got = self.attach(self.slim.withColumnsRenamed({"doc_id": self.id_col, "source": self.source_col}).drop("h"))
+        got = self.attach(self.slim.withColumnsRenamed({"doc_id": self.id_col, "source": self.source_col}))
         return got.select(F.col(self.id_col).alias("doc_id"), "size", "source_size", "target",
                           (F.col("size") * F.col("copies")).alias("taken"), "copies", "shards")
 
@@ -203,8 +204,8 @@ def mixed(docs: DataFrame, shards: int = 16, seed: int = 42, with_shard: bool =
     mix = Mix(docs, shards=shards, seed=seed, **options)
     packed = free_name(docs, "packed_row")
     row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias(packed),
-                      F.col(mix.id_col).alias("mix_id"), F.col(mix.source_col).alias("mix_source"))
-    mix.id_col, mix.source_col = "mix_id", "mix_source"
+                      _doc_hash(mix.id_col, mix.text_col, seed).alias("h"), F.col(mix.source_col).alias("mix_source"))
+    mix.source_col = "mix_source"
     out = (mix.attach(row).select(packed, "h", F.posexplode("shards").alias("copy", "mix_shard")))
     more = ["mix_shard", F.xxhash64("h", "copy", "mix_shard").alias("mix_order")] if with_shard else []
     return out.select(F.col(f"{packed}.*"), *more)

@@ -244,3 +244,13 @@ def test_index_keeps_rows_without_an_id(spark):
         want = sorted((-sum(a * b for a, b in zip(own, v)), i is None, i or 0) for i, v in rows if i != q)[:20]
         assert [(x["vec_id"] is None, x["vec_id"] or 0) for x in sorted((x for x in got if x["query_id"] == q), key=lambda x: x["rank"])] == [
             (n, i) for _, n, i in want]
+
+
+# 10 rows without an id reach the targets ---------------------------------------------------------------------------
+def test_mix_targets_are_met_with_rows_without_an_id(spark):
+    from cellpulse.llm import mixing
+    rows = [(None if i % 2 else i, " ".join(f"w{i}x{k}" for k in range(5 + i % 40)), "abc"[i % 3]) for i in range(4500)]
+    docs = make(spark, rows)
+    got = mixing.query(docs).groupBy("target").sum("taken").collect()
+    assert len(got) >= 2 and all(abs(r[1] - r[0]) <= 0.02 * r[0] for r in got), got
+    assert mixing.mixed(docs).count() == sum(r["copies"] for r in mixing.Mix(docs).per_document().collect())
