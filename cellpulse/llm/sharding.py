@@ -88,9 +88,9 @@ def row_at(shard, slot, n: int, shards: int, seed: int) -> np.ndarray:
     return Feistel(n, seed).backward(np.asarray(slot) * shards + np.asarray(shard))
 
 
-def row_numbers(df: DataFrame, order: list[str], key: str, out: str = "row_number") -> DataFrame:
-    """Global numbers 0..N-1 by fixed hash blocks of ``key``; within a block by ``order``."""
-    blocked = df.withColumn("_block", F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(BLOCKS)))
+def row_numbers(df: DataFrame, order: list[str], keys: list[str], out: str = "row_number") -> DataFrame:
+    """Global numbers 0..N-1 by fixed hash blocks of ``keys``; within a block by ``order``."""
+    blocked = df.withColumn("_block", F.pmod(F.xxhash64(*keys, F.lit(17)), F.lit(BLOCKS)))
     counts = blocked.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     # At most BLOCKS rows: the one ordered window and the broadcast have a fixed bound.
     first = counts.select("_block", (F.sum("_n").over(Window.orderBy("_block")) - F.col("_n")).alias("_first"))
@@ -112,7 +112,7 @@ def shard_rows(docs: DataFrame, shards: int = 8, seed: int = 42, id_col: str = "
     def permuted(rows: pd.Series) -> pd.Series:
         return pd.Series(Feistel(total, seed).forward(rows.to_numpy()))
 
-    numbered = row_numbers(slim, ["doc_id", "text_crc32", "size"], "doc_id")
+    numbered = row_numbers(slim, ["doc_id", "text_crc32", "size"], ["doc_id", "text_crc32"])
     p = F.col("_p")
     return (numbered.withColumn("_p", permuted("row_number"))
             .withColumn("shard", (p % shards).cast("int"))

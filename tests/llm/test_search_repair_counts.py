@@ -10,6 +10,7 @@ import zlib
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from cellpulse.llm import catalog, conversation_repair as repair, lexical_search as search, token_counts as counts
 from cellpulse.llm._common import ship, table
@@ -254,3 +255,15 @@ def test_mix_targets_are_met_with_rows_without_an_id(spark):
     got = mixing.query(docs).groupBy("target").sum("taken").collect()
     assert len(got) >= 2 and all(abs(r[1] - r[0]) <= 0.02 * r[0] for r in got), got
     assert mixing.mixed(docs).count() == sum(r["copies"] for r in mixing.Mix(docs).per_document().collect())
+
+
+# 2 rows without an id spread over the blocks -----------------------------------------------------------------------
+def test_rows_without_an_id_fill_no_single_block(spark):
+    from cellpulse.llm import sharding
+    docs = make(spark, [(None, f"text {i}", "a") for i in range(2000)] + [(i, "same", "b") for i in range(100)])
+    got = sharding.query(docs).collect()
+    sizes = [sum(r["shard"] == s for r in got) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 1
+    assert all(sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sizes[s])) for s in range(8))
+    blocks = docs.selectExpr("doc_id", "crc32(cast(text as binary)) as c").selectExpr("pmod(xxhash64(doc_id, c, 17), 4096) as b")
+    assert blocks.groupBy("b").count().agg(F.max("count")).first()[0] < 20
