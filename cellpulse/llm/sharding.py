@@ -10,15 +10,15 @@ both directions are plain arithmetic: :func:`place` gives (shard, slot) of a
 row number and :func:`row_at` the row number at (shard, slot).
 
 Global numbers need no global sort: rows are dealt to ``BLOCKS`` fixed hash
-blocks of their id, a block's first number is a running sum over the block
+blocks of their id and text checksum, a block's first number is a running sum over the block
 counts, and rows are numbered within their block by (id, text checksum, size).
 Reruns, other partitionings and other cluster sizes give the same numbers.
 
-Defined cases: null text has size 1 and checksum 0; null ids form a block order
-of their own (first); rows that repeat id and text are interchangeable and get
+Defined cases: null text has size 1 and checksum 0; null ids come first
+within a block; rows that repeat id and text are interchangeable and get
 consecutive numbers; an empty table gives no rows; groups of equal texts are
 not kept together (the law is ``rows``); further columns are ignored.
-Skew: hash blocks are even for distinct ids; equal texts do not matter.
+Skew: hash blocks are even for rows that differ in id or text; only rows equal in both share a block.
 """
 from __future__ import annotations
 
