@@ -21,8 +21,12 @@ with probability below 1e-7; the estimate may miss one in 1e5).
 
 Defined cases: null or wordless text has an empty set and links with nothing; a
 text of fewer than ``SHINGLE`` words has one shingle, its whole sequence; rows that
-share an id are one document for linking; rows with a null id link with nothing
-and form no component; an empty table gives an empty result; other columns are ignored.
+share an id are one document for linking; each row with a null id is a document of its
+own, numbered above the largest id while the operator works: it links like any other,
+its component is the smallest id reachable (null if there is none) and it is kept only
+if no row with an id is reachable and it is the first of its component.  With ids above
+2**62 there is no room for such numbers and rows with a null id link with nothing.
+An empty table gives an empty result; other columns are ignored.
 """
 from __future__ import annotations
 
@@ -33,10 +37,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import small_side, stored
+from ._common import free_name, small_side, stored
 
 SHINGLE, SIMILAR = 4, 80
 REGISTERS, MANTISSA, ROWS, BANDS = 128, 10, 4, 32
@@ -44,6 +48,8 @@ REGISTERS, MANTISSA, ROWS, BANDS = 128, 10, 4, 32
 MARGIN, BLOCK, CACHE_WORDS = 4.5, 1024, 300_000
 #: Sets of at most so many shingles travel whole into a split bucket; longer ones are verified afterwards.
 SHORT = 1024
+#: Largest id that leaves room above it for the numbers of rows with a null id.
+ROOM = 1 << 62
 _U = np.uint64
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -156,13 +162,18 @@ def _batches(fn, out_names: list[str]):
     return run
 
 
+def _key(id_col: str, text_col: str) -> Column:
+    """Where a row's text is found again: rows of equal keys are told apart by their sets."""
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col))
+
+
 def sketched(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """doc_id, n, a, b (128-bit identity of the set), regs of every row."""
+    """doc_id, key, n, a, b (128-bit identity of the set), regs of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
         for batch in batches:
             n, a, b, regs = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in batch.column(2).to_pylist():
                 s = shingle(text)
                 n.append(len(s))
                 raw = xxhash.xxh3_128_intdigest(s.tobytes())
@@ -170,10 +181,11 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFra
                 b.append((raw & (1 << 64) - 1) - (1 << 63))
                 regs.append(sketch(s).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
-                 pa.array(regs, pa.binary())], names=["doc_id", "n", "a", "b", "regs"])
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, a long, b long, regs binary")
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
+                 pa.array(b, pa.int64()), pa.array(regs, pa.binary())], names=["doc_id", "key", "n", "a", "b", "regs"])
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _key(id_col, text_col).alias("key"),
+                       F.col(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, key long, n long, a long, b long, regs binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -205,7 +217,7 @@ def _probable(pairs: DataFrame, nodes: DataFrame, similar: int) -> DataFrame:
 
 
 def _sets(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, name: str) -> DataFrame:
-    """node, shingles (sorted 64-bit hashes) of the stored nodes (node, a), recomputed from whole texts."""
+    """node, shingles (sorted 64-bit hashes) of the stored nodes (node, key, a), recomputed from whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
         for batch in batches:
@@ -213,11 +225,11 @@ def _sets(wanted: DataFrame, docs: DataFrame, id_col: str, text_col: str, width:
             ident = [(xxhash.xxh3_128_intdigest(s.tobytes()) >> 64) - (1 << 63) for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ident, pa.int64()),
                                               pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             names=["node", "a", "shingles"])
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("binary").alias("text"))
-    texts = texts.join(small_side(wanted.select("node"), 8), "node", "left_semi")
-    sets = (texts.mapInArrow(run, "node long, a long, shingles binary").join(small_side(wanted, 16), ["node", "a"], "left_semi")
-            .dropDuplicates(["node", "a"]).drop("a"))
+                                             names=["key", "a", "shingles"])
+    texts = docs.select(_key(id_col, text_col).alias("key"), F.col(text_col).cast("binary").alias("text"))
+    texts = texts.join(small_side(wanted.select("key"), 8), "key", "left_semi")
+    sets = (texts.mapInArrow(run, "key long, a long, shingles binary").join(small_side(wanted, 24), ["key", "a"])
+            .select("node", "shingles").dropDuplicates(["node"]))
     return stored(sets, name)
 
 
@@ -225,7 +237,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str,
               similar: int) -> DataFrame:
     """The pairs whose full sets reach the similarity."""
     wanted = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-                    .join(nodes.select("node", "a"), "node"), "wanted")
+                    .join(nodes.select("node", "key", "a"), "node"), "wanted")
     sets = _sets(wanted, docs, id_col, text_col, width, "sets")
     both = pairs.join(sets.toDF("u", "su"), "u").join(sets.toDF("v", "sv"), "v")
 
@@ -332,7 +344,8 @@ def near_links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, wi
              .where("lo <> hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
     split = stored(split, "split_buckets")
     rows = stored(wide.join(small_side(split, 24), "key"), "split")
-    wanted = stored(rows.where(F.col("n") <= SHORT).select("node").distinct().join(nodes.select("node", "a"), "node"), "short")
+    wanted = stored(rows.where(F.col("n") <= SHORT).select("node").distinct()
+                    .join(nodes.select("node", "key", "a"), "node"), "short")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -354,19 +367,21 @@ def near_links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str, wi
     return stored(components(links.unionByName(links2)), "components2")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
-                similar: int = SIMILAR) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    rows = stored(sketched(docs, id_col, text_col, width), "sketches")
-    linkable = rows.where("n > 0 and doc_id is not null")
-    same_set = Window.partitionBy("a", "b").orderBy("doc_id")
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, similar: int) -> DataFrame:
+    """doc_id, key, n, component_id, kept of every row."""
+    top = docs.agg(F.max(F.col(id_col).cast("long"))).first()[0] or 0
+    lone = F.lit(top + 1) + F.monotonically_increasing_id() if top < ROOM else F.lit(None)
+    rows = stored(sketched(docs, id_col, text_col, width).withColumn("row", F.coalesce("doc_id", lone.cast("long"))),
+                  "sketches")
+    linkable = rows.where("n > 0 and row is not null")
+    same_set = Window.partitionBy("a", "b").orderBy("row")
     nodes = stored(linkable.withColumn("nth", F.row_number().over(same_set)).where("nth = 1")
-                   .select(F.col("doc_id").alias("node"), "n", "a", "b", "regs"), "nodes")
+                   .select(F.col("row").alias("node"), "key", "n", "a", "b", "regs"), "nodes")
     joined = near_links(nodes, docs, id_col, text_col, width, similar)
     # Equal sets are links, too: members point to their set's node, rows that share an id share a component.
-    reps = linkable.groupBy("a", "b").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("members"))
-    copies = stored(linkable.join(reps.where("members > 1"), ["a", "b"]).where("doc_id <> node")
-                    .select(F.col("doc_id").alias("u"), F.col("node").alias("v")).distinct(), "copies")
+    reps = linkable.groupBy("a", "b").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("members"))
+    copies = stored(linkable.join(reps.where("members > 1"), ["a", "b"]).where("row <> node")
+                    .select(F.col("row").alias("u"), F.col("node").alias("v")).distinct(), "copies")
     every = copies.join(joined.withColumnRenamed("node", "v"), "v", "left").select(
         F.col("u").alias("node"), F.coalesce("component", "v").alias("component")).unionByName(joined)
     every = stored(every, "labels")
@@ -374,18 +389,39 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not ids.isEmpty():  # an id with several texts joins their components
         every = stored(components(every.select(F.col("node").alias("u"), F.col("component").alias("v"))), "joined")
     label = every.distinct().withColumnRenamed("node", "l_node")
-    out = rows.select("doc_id", "n").join(small_side(stored(label, "label"), 24), F.col("doc_id") == F.col("l_node"), "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+    out = rows.select("doc_id", "key", "n", "row").join(small_side(stored(label, "label"), 24),
+                                                        F.col("row") == F.col("l_node"), "left")
+    component = F.coalesce("component", "row")
+    return out.select("doc_id", "key", "n", F.when(component <= top, component).alias("component_id"),
+                      F.col("row").eqNullSafe(component).alias("kept"))
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
+                similar: int = SIMILAR) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    return _grouped(docs, id_col, text_col, width, similar).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id", "kept")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                 similar: int = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` that stay, one document of each component, with all their columns."""
-    drop = stored(near_groups(docs, id_col, text_col, width, similar).where("not kept").select(
-        F.col("doc_id").alias("drop_id")).distinct(), "dropped")
-    return docs.join(small_side(drop, 16), docs[id_col].cast("long") == drop["drop_id"], "left_anti")
+    """The rows of ``docs`` that stay, one document of each component, with all their columns.
+
+    Rows with an id go by it; rows with a null id go by their text, of equal ones that stay one row does."""
+    groups = stored(_grouped(docs, id_col, text_col, width, similar).drop("component_id"), "groups")
+    drop = stored(groups.where("not kept and doc_id is not null").select(F.col("doc_id").alias("drop_id")).distinct(),
+                  "dropped")
+    left = docs.join(small_side(drop, 16), docs[id_col].cast("long") == drop["drop_id"], "left_anti")
+    lone = groups.where("doc_id is null and n > 0").groupBy("key").agg(
+        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("copies"))
+    lone = stored(lone.where("not stays or copies > 1"), "lone")
+    if lone.isEmpty():
+        return left
+    key = free_name(docs, "near_key")
+    left = left.withColumn(key, F.when(F.col(id_col).isNull(), _key(id_col, text_col)))
+    named = lone.withColumnRenamed("key", key)
+    once = left.join(named.where("stays").select(key), key, "left_semi").dropDuplicates([key])
+    return left.join(small_side(named.select(key), 16), key, "left_anti").unionByName(once).drop(key)
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -383,12 +383,34 @@ def test_near_dedup_defined_cases(spark):
     docs = make(spark, [(1, "a b c d e f", "x"), (2, "A B  c d e f", "x"), (None, "a b c d e f", "x"), (3, None, "x"), (4, "", "x")])
     got = {r["doc_id"]: r for r in near_dedup.query(docs).collect()}
     assert got[2]["component_id"] == 1 and not got[2]["kept"] and got[3]["kept"] and got[4]["n_shingles"] == 0
-    assert got[None]["component_id"] is None
+    assert got[None]["component_id"] == 1 and not got[None]["kept"]
     left = near_dedup.deduplicate(docs)
-    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {1, None, 3, 4}
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {1, 3, 4}
     assert near_dedup.query(docs.limit(0)).count() == 0
 
 
+def test_near_dedup_links_rows_without_an_id(spark):
+    """A link that runs only through a row without an id, groups of such rows alone, repeated ones, ids too large for numbers above."""
+    base, other = [f"v{i}" for i in range(100)], [f"o{i}" for i in range(60)]
+    def text(words, changed):
+        return " ".join(f"z{i}" if i in changed else w for i, w in enumerate(words))
+    rows = [(70, text(base, {20})), (None, text(base, {20, 50})), (40, text(base, {50, 80})), (None, text(base, {20, 50})),
+            (None, text(other, {5})), (None, text(other, {})), (None, text(other, {})), (None, text(other, {})),
+            (3, "alone in its group"), (None, "alone without id"), (None, "alone without id"), (None, ""), (None, None), (None, " ")]
+    docs = make(spark, [(i, t, "a") for i, t in rows])
+    named = [(1000 + k if i is None else i, t) for k, (i, t) in enumerate(rows)]
+    want = [(None if i >= 1000 else i, n, None if c >= 1000 else c, k) for i, n, c, k in brute_components(named)]
+    assert plain(near_dedup.query(docs).collect()) == plain(want)
+    assert {c[2] for c in want if c[0] == 70} == {40}
+    kept = near_dedup.deduplicate(docs)
+    texts = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())
+    assert kept.columns == docs.columns
+    assert [t for t in texts if t[1].strip() and t[1][0] != "o"] == [(0, "alone without id"), (3, "alone in its group"), (40, rows[2][1])]
+    assert len([t for t in texts if not t[1].strip()]) == 3 and len([t for t in texts if t[1][:1] == "o"]) == 1
+    large = make(spark, [(2**62 + 1, rows[0][1], "a"), (None, rows[0][1], "a")])
+    assert plain(near_dedup.query(large).collect()) == plain([(2**62 + 1, 97, 2**62 + 1, True), (None, 97, None, True)])
+
+
 # 10 mixing ---------------------------------------------------------------------------------------------------------
 def brute_targets(sizes: dict) -> dict:
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode("utf-32-be")) + [None] * (None in sizes)
