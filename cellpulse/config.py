@@ -91,6 +91,14 @@ SURVIVAL_NUMERIC = (
     "low_temp_exposure_hours", "station_anomaly_rate",
 )
 
+# A stated logistic hazard of an interval: the survival queries that SQL repeats use it in place of a fitted one.
+STATED_HAZARD = {"intercept": -9.0, "log_interval_end": 0.9, "fast_charge_ratio": 1.5, "avg_depth_of_discharge": 0.5,
+                 "high_temp_exposure_hours": 0.002, "low_temp_exposure_hours": 0.001, "station_anomaly_rate": 2.0}
+
+# The release gate: largest loss of recall on the later cells, largest share of them under review.
+MAX_RECALL_DROP = 0.1
+MAX_REVIEW_SHARE = 0.5
+
 # Sizes of the fitted models.
 SOH_BOOST_ROUNDS = 300
 SOH_BOOST_STEP = 0.05

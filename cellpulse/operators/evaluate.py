@@ -48,7 +48,7 @@ def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
                   (F.lit(1.0) - F.sum(e * e) / F.nullif(sst, F.lit(0.0))).alias("r2"))
 
 
-def _below_sums(df: DataFrame, value: str, weight_cols: list[str]) -> DataFrame:
+def below_sums(df: DataFrame, value: str, weight_cols: list[str]) -> DataFrame:
     """Per distinct ``value``: the sums of ``weight_cols`` over rows with a strictly
     smaller value (digit-block offsets + running sums inside a block)."""
     s, e, m = _digits(F.col(value), 12)
@@ -69,7 +69,7 @@ def roc_auc(df: DataFrame, y: str, p: str) -> DataFrame:
     strictly below + half the negatives at that score), over P x N."""
     g = df.groupBy(F.col(p).cast("double").alias("_p")).agg(
         F.sum(F.col(y).cast("long")).alias("pos"), F.sum((1 - F.col(y)).cast("long")).alias("neg"))
-    b = _below_sums(g, "_p", ["neg"])
+    b = below_sums(g, "_p", ["neg"])
     return b.agg(
         (F.sum(F.col("pos") * (F.col("below_neg") + F.lit(0.5) * F.col("neg")))
          / F.nullif(F.sum("pos") * F.sum("neg"), F.lit(0))).alias("roc_auc"))
@@ -91,23 +91,27 @@ def classification_metrics(df: DataFrame, y: str, p: str, cut: float = 0.5) -> D
     return c.select("precision", "recall", f1.alias("f1"), auc.alias("roc_auc"), "tp", "fp", "tn", "fn")
 
 
-def thresholds(spark) -> DataFrame:
+def threshold_values() -> list[tuple[int, float]]:
     """The 13 thresholds start + i * ((start + step) - start), as a float range yields them."""
     step = (config.THRESHOLD_START + config.THRESHOLD_STEP) - config.THRESHOLD_START
-    rows = [(i, config.THRESHOLD_START + i * step) for i in range(config.THRESHOLD_COUNT)]
-    return spark.createDataFrame(rows, "i int, threshold double")
+    return [(i, config.THRESHOLD_START + i * step) for i in range(config.THRESHOLD_COUNT)]
+
+
+def thresholds(spark) -> DataFrame:
+    return spark.createDataFrame(threshold_values(), "i int, threshold double")
 
 
 def threshold_table(df: DataFrame, y: str, p: str, fn_cost: float = config.FN_COST,
                     fp_cost: float = config.FP_COST) -> DataFrame:
-    """TP/FP/TN/FN, precision, recall, review load and cost per threshold.  Scores are
-    first reduced to distinct (score, label) counts; the 13-row threshold table
-    is a size-proven broadcast."""
-    g = df.groupBy(F.col(p).cast("double").alias("_p"), F.col(y).cast("int").alias("_y")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    t = F.broadcast(thresholds(df.sparkSession))
-    j = t.join(g, how="left")
-    hit = F.col("_p") >= F.col("threshold")
+    """TP/FP/TN/FN, precision, recall, review load and cost per threshold.  Each score
+    falls into the step of the thresholds it reaches; at most 14 steps a label remain, which
+    the 13-row threshold table (a size-proven broadcast) cumulates."""
+    t = thresholds(df.sparkSession)
+    reached = sum((F.col("_p") >= F.lit(v)).cast("int") for _, v in threshold_values())
+    g = (df.select(F.col(p).cast("double").alias("_p"), F.col(y).cast("int").alias("_y")).where("_p is not null")
+         .groupBy(reached.alias("_step"), "_y").agg(F.count(F.lit(1)).alias("_n")))
+    j = F.broadcast(t).join(g, how="left")  # 13 thresholds beside the steps
+    hit = F.col("_step") > F.col("i")
     agg = j.groupBy("i", "threshold").agg(
         F.sum(F.when(hit & (F.col("_y") == 1), F.col("_n")).otherwise(0)).cast("long").alias("tp"),
         F.sum(F.when(hit & (F.col("_y") == 0), F.col("_n")).otherwise(0)).cast("long").alias("fp"),
@@ -121,6 +125,24 @@ def threshold_table(df: DataFrame, y: str, p: str, fn_cost: float = config.FN_CO
         (F.lit(fp_cost) * F.col("fp") + F.lit(fn_cost) * F.col("fn")).alias("cost"))
 
 
+def release_gate(earlier: DataFrame, later: DataFrame, y: str, p: str, baseline: str) -> DataFrame:
+    """One row: does the score ``p`` beat ``baseline`` on the later cells (F1 at 0.5), does its recall fall by at
+    most ``MAX_RECALL_DROP`` from the earlier to the later cells, does its cheapest threshold send at most
+    ``MAX_REVIEW_SHARE`` of the later cells to review.  The release passes only if all three hold."""
+    own = classification_metrics(later, y, p).select("f1", F.col("recall").alias("later_recall"))
+    simple = classification_metrics(later, y, baseline).select("f1").scalar()
+    before = classification_metrics(earlier, y, p).select("recall").scalar()
+    cheapest = threshold_table(later, y, p).select(
+        F.min_by("review_load", F.struct("cost", "threshold"))).scalar()
+    cells = later.select(F.count(F.lit(1))).scalar()
+    x = own.select((F.col("f1") > simple).alias("beats_baseline"),
+                   (F.col("later_recall") >= before - F.lit(config.MAX_RECALL_DROP)).alias("recall_holds"),
+                   (cheapest <= F.lit(config.MAX_REVIEW_SHARE) * cells).alias("load_interpretable"),
+                   F.col("f1").alias("score_f1"), simple.alias("baseline_f1"), before.alias("earlier_recall"), "later_recall",
+                   cheapest.alias("review_load"))
+    return x.withColumn("release", F.col("beats_baseline") & F.col("recall_holds") & F.col("load_interpretable"))
+
+
 # --- fixed values: calibration bin labels (five equal-width bins, first includes 0) ---
 CALIBRATION_LABELS = ("(-0.001, 0.2]", "(0.2, 0.4]", "(0.4, 0.6]", "(0.6, 0.8]", "(0.8, 1.0]")
 
@@ -147,7 +169,6 @@ def calibration_table(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 # ---- drift ------------------------------------------------------------------
-PSI_PROBS = [i * (1.0 / config.PSI_BINS) for i in range(config.PSI_BINS + 1)]
 PSI_PROBS = [0.0] + [i * 0.1 for i in range(1, config.PSI_BINS)] + [1.0]
 
 

@@ -41,7 +41,9 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'escalation_report': ['failure_probability', 'early_warning_probability', 'predicted_soh', 'predicted_remaining_cycles'],
     'escalation_required': [],
     'event_date': [],
+    'event_mae': ['model_event_mae', 'baseline_event_mae'],
     'event_mae_baseline': ['baseline_event_mae'],
+    'failure_baseline_top_10': ['event_risk'],
     'event_rates': ['capacity_drop_rate', 'impedance_spike_rate', 'thermal_anomaly_rate', 'early_degradation_rate'],
     'event_type': [],
     'expand_intervals': ['log_interval_end'],
@@ -99,7 +101,7 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'recent_cycle_window': ['start_soh', 'end_soh', 'soh_change', 'max_rolling_temperature'],
     'recommended_follow_up': [],
     'release_cutoff': [],
-    'release_decision': [],
+    'release_decision': ['score_f1', 'baseline_f1', 'earlier_recall', 'later_recall'],
     'release_split': [],
     'remaining_cycles': ['remaining_cycles'],
     'risk_by_usage': [],
@@ -124,6 +126,8 @@ DOUBLE_COLUMNS: dict[str, list[str]] = {
     'soh_vs_first': ['soh'],
     'station_anomaly_rate': ['station_anomaly_rate'],
     'survival_frame': [],
+    'survival_distribution': ['predicted_expected_eol_cycle', 'event_probability_by_horizon', 'event_probability_by_500_cycles',
+                              'predicted_remaining_cycles_from_observed'],
     'survival_top_10': ['event_risk'],
     'temperature_summary': ['max_discharge_temp_c', 'max_charge_temp_c'],
     'threshold_table': ['threshold', 'precision', 'recall', 'cost'],

@@ -12,6 +12,7 @@ from .. import config
 from ..operators import evaluate as ev
 from ..operators import scoring, survival
 from ..operators.reports import top_k
+from ..session import cut_lineage
 from .registry import register
 
 # ---- shared oracle CTE text ---------------------------------------------------
@@ -287,24 +288,78 @@ def concordance_index(p):
     return survival.concordance_index(sc, "duration_cycles", "event_observed", "p")
 
 
-@register("event_mae_baseline", _with_split("""
-SELECT avg(abs(CAST(st.eol_cycle AS DOUBLE) - (SELECT quantile_cont(s2.eol_cycle, 0.5) FROM stats s2 JOIN split sp USING (cell_id)
-   WHERE sp.is_train AND s2.eol_cycle IS NOT NULL))) AS baseline_event_mae, count(*) AS event_cells
-FROM stats st JOIN split sp USING (cell_id) WHERE NOT sp.is_train AND st.eol_cycle IS NOT NULL"""))
+_HAZARD = " + ".join([repr(config.STATED_HAZARD["intercept"]) + "::DOUBLE",
+                      repr(config.STATED_HAZARD["log_interval_end"]) + "::DOUBLE * ln(1 + e)",
+                      *[f"{config.STATED_HAZARD[c]!r}::DOUBLE * coalesce({c}, 0)" for c in config.SURVIVAL_NUMERIC]])
+DIST_SQL = SURV_SQL.strip().split("pp AS (")[0].rstrip().rstrip(",") + f""",
+hmax AS (SELECT CAST(ceil(max(duration_cycles) / 50.0) * 50 AS INTEGER) AS hz FROM sframe),
+steps AS (SELECT f.cell_id, f.duration_cycles, f.event_observed, hz, e AS interval_end, 1 / (1 + exp(-({_HAZARD}))) AS h
+  FROM sframe f JOIN split s USING (cell_id), hmax, unnest(range(50, hz + 1, 50)) AS t(e) WHERE NOT s.is_train),
+alive AS (SELECT *, product(1 - h) OVER (PARTITION BY cell_id ORDER BY interval_end ROWS UNBOUNDED PRECEDING) AS s FROM steps),
+dist AS (SELECT cell_id, any_value(duration_cycles) AS duration_cycles, any_value(event_observed) AS event_observed,
+  CAST(coalesce(min(interval_end) FILTER (WHERE s <= 0.5), any_value(hz)) AS INTEGER) AS predicted_median_eol_cycle,
+  sum(interval_end * s / (1 - h) * h) + any_value(hz) * min(s) AS predicted_expected_eol_cycle,
+  1 - min(s) AS event_probability_by_horizon, coalesce(1 - min(s) FILTER (WHERE interval_end <= 500), 0) AS event_probability_by_500_cycles
+  FROM alive GROUP BY cell_id)
+"""
+
+
+def _with_dist(select: str) -> str:
+    return "SELECT * FROM (WITH " + SPLIT_SQL.strip() + ",\n" + DIST_SQL + select + ")"
+
+
+def _survival_cells(p):
+    return (p.cell_features.join(survival.survival_frame(p.stats), "cell_id")
+            .join(_split(p).select("cell_id", "is_train"), "cell_id"))
+
+
+def _survival_rows(p, cells):
+    """Survival rows of the holdout cells under the stated hazard, up to the longest duration of all cells."""
+    width = config.HAZARD_INTERVAL
+    longest = cells.agg(F.max("duration_cycles")).first()[0] or width
+    horizon = -(-longest // width) * width
+    held = cells.where("not is_train")
+    return survival.survival_rows(held, survival.stated_hazards(held, horizon), horizon)
+
+
+@register("survival_distribution", _with_dist(
+    "SELECT *, greatest(predicted_expected_eol_cycle - duration_cycles, 0) AS predicted_remaining_cycles_from_observed FROM dist"))
+def survival_distribution(p):
+    return _survival_rows(p, _survival_cells(p))
+
+
+_MEDIAN_EVENT = ("(SELECT coalesce(quantile_cont(duration_cycles, 0.5) FILTER (WHERE event_observed = 1), "
+                 "quantile_cont(duration_cycles, 0.5)) FROM sframe JOIN split USING (cell_id) WHERE is_train)")
+
+
+@register("event_mae", _with_dist(
+    "SELECT avg(abs(duration_cycles - predicted_expected_eol_cycle)) AS model_event_mae, "
+    f"avg(abs(duration_cycles - {_MEDIAN_EVENT})) AS baseline_event_mae, count(*) AS event_cells FROM dist WHERE event_observed = 1"))
+def event_mae(p):
+    cells = _survival_cells(p)
+    return survival.event_errors(_survival_rows(p, cells), cells.where("is_train"))
+
+
+@register("event_mae_baseline", _with_dist(
+    f"SELECT avg(abs(duration_cycles - {_MEDIAN_EVENT})) AS baseline_event_mae, count(*) AS event_cells "
+    "FROM sframe JOIN split USING (cell_id) WHERE event_observed = 1 AND NOT is_train"))
 def event_mae_baseline(p):
-    from ..operators.scoring import _one_row_scalar
-    from ..operators.quantiles import exact_quantile_columns
-    s = _split(p).select("cell_id", "is_train").join(p.stats.select("cell_id", "eol_cycle"), "cell_id")
-    ev_ = s.where(F.col("eol_cycle").isNotNull())
-    med = _one_row_scalar(exact_quantile_columns(ev_.where("is_train"), "eol_cycle", {"m": 0.5}))["m"]
-    t = ev_.where(~F.col("is_train"))
-    return t.agg(F.avg(F.abs(F.col("eol_cycle").cast("double") - med)).alias("baseline_event_mae"),
-                 F.count(F.lit(1)).alias("event_cells"))
+    cells = _survival_cells(p)
+    held = cells.where("not is_train").withColumn("predicted_expected_eol_cycle", F.lit(None).cast("double"))
+    return survival.event_errors(held, cells.where("is_train")).drop("model_event_mae")
 
 
-@register("survival_top_10", _with_split(
-    "SELECT cell_id, p AS event_risk FROM scored ORDER BY p DESC, cell_id LIMIT 10"))
+@register("survival_top_10", _with_dist(
+    "SELECT cell_id, event_probability_by_500_cycles AS event_risk FROM dist ORDER BY event_risk DESC, cell_id LIMIT 10"))
 def survival_top_10(p):
+    rows = _survival_rows(p, _survival_cells(p))
+    return top_k(rows.select("cell_id", F.col("event_probability_by_500_cycles").alias("event_risk")),
+                 [F.desc("event_risk"), F.asc("cell_id")], 10)
+
+
+@register("failure_baseline_top_10", _with_split(
+    "SELECT cell_id, p AS event_risk FROM scored ORDER BY p DESC, cell_id LIMIT 10"))
+def failure_baseline_top_10(p):
     s = _scored_holdout(p).select("cell_id", F.col("p").alias("event_risk"))
     return top_k(s, [F.desc("event_risk"), F.asc("cell_id")], 10)
 
@@ -316,13 +371,29 @@ def backtest_baseline_metrics(p):
 
 
 @register("release_decision", _with_split(f"""
-SELECT roc_auc > 0.5 AS beats_random, recall >= 0.5 AS recall_holds, tp + fp <= (SELECT count(*) FROM scored) AS load_interpretable
-FROM ({_CLS_SQL})"""))
+, graded AS (SELECT c.cell_id, s.is_train, c.escalation_required AS y, p.failure_probability AS q, b.p AS base
+  FROM cell_features c JOIN split s USING (cell_id) JOIN predictions p USING (cell_id) LEFT JOIN scored b USING (cell_id)),
+later AS (SELECT * FROM graded WHERE NOT is_train),
+f AS (SELECT 2.0::DOUBLE * count(*) FILTER (WHERE q >= 0.5 AND y = 1) / greatest(count(*) FILTER (WHERE q >= 0.5) + count(*) FILTER (WHERE y = 1), 1) AS score_f1,
+  2.0::DOUBLE * count(*) FILTER (WHERE base >= 0.5 AND y = 1) / greatest(count(*) FILTER (WHERE base >= 0.5) + count(*) FILTER (WHERE y = 1), 1) AS baseline_f1,
+  1.0::DOUBLE * count(*) FILTER (WHERE q >= 0.5 AND y = 1) / greatest(count(*) FILTER (WHERE y = 1), 1) AS later_recall,
+  count(*) AS cells FROM later),
+e AS (SELECT 1.0::DOUBLE * count(*) FILTER (WHERE q >= 0.5 AND y = 1) / greatest(count(*) FILTER (WHERE y = 1), 1) AS earlier_recall
+  FROM graded WHERE is_train),
+l AS (SELECT n AS review_load FROM (SELECT t, count(*) FILTER (WHERE q >= t) AS n, count(*) FILTER (WHERE q >= t AND y = 0)
+    + 5 * count(*) FILTER (WHERE q < t AND y = 1) AS cost FROM ({_THR}) th, later GROUP BY t) ORDER BY cost, t LIMIT 1)
+SELECT score_f1 > baseline_f1 AS beats_baseline, later_recall >= earlier_recall - {config.MAX_RECALL_DROP}::DOUBLE AS recall_holds,
+  review_load <= {config.MAX_REVIEW_SHARE} * cells AS load_interpretable, score_f1, baseline_f1, earlier_recall, later_recall, review_load,
+  score_f1 > baseline_f1 AND later_recall >= earlier_recall - {config.MAX_RECALL_DROP}::DOUBLE AND review_load <= {config.MAX_REVIEW_SHARE} * cells AS release
+FROM f, e, l"""))
 def release_decision(p):
-    m = ev.classification_metrics(_scored_holdout(p), "y", "p")
-    n = _scored_holdout(p).select(F.count(F.lit(1))).scalar()
-    return m.select((F.col("roc_auc") > 0.5).alias("beats_random"), (F.col("recall") >= 0.5).alias("recall_holds"),
-                    (F.col("tp") + F.col("fp") <= n).alias("load_interpretable"))
+    """The gate for the published scores of the cells against the rule baseline of the holdout."""
+    graded = (p.cell_features.select("cell_id", F.col("escalation_required").alias("y"))
+              .join(_split(p).select("cell_id", "is_train"), "cell_id")
+              .join(p.predictions.select("cell_id", F.col("failure_probability").alias("q")), "cell_id"))
+    graded = cut_lineage(graded)  # both tables are read several times
+    later = graded.where("not is_train").join(_scored_holdout(p).select("cell_id", F.col("p").alias("base")), "cell_id", "left")
+    return ev.release_gate(graded.where("is_train"), cut_lineage(later), "y", "q", "base")
 
 
 @register("holdout_by_group", _with_split("""
