@@ -29,8 +29,27 @@ CONTRACT: dict[str, dict[str, str]] = {
         "measurement_drift_pct": "double", "valid_from_ts": "timestamp_ntz", "valid_to_ts": "timestamp_ntz"},
     "impedance_measurements": {
         "impedance_measurement_id": "bigint", "cell_id": "string", "frequency_hz": "double", "re_ohm": "double", "rct_ohm": "double"},
+    "failure_events": {
+        "cell_id": "string", "event_type": "string", "capacity_drop_event": "int", "impedance_spike_event": "int",
+        "thermal_anomaly_event": "int", "early_degradation_flag": "int", "escalation_required": "int", "failure_severity": "string"},
+    "quality_holds": {
+        "quality_hold_id": "bigint", "hold_scope": "string", "lot_id": "string", "station_id": "string", "cell_id": "string",
+        "hold_status": "string", "release_criteria": "string", "hold_opened_ts": "timestamp_ntz", "hold_closed_ts": "timestamp_ntz"},
+    "engineering_dispositions": {
+        "disposition_id": "bigint", "cell_id": "string", "quality_hold_id": "bigint", "failure_event_id": "bigint",
+        "final_outcome": "string", "closed_ts": "timestamp_ntz", "ingested_at": "timestamp_ntz"},
+    "model_predictions": {
+        "cell_id": "string", "predicted_soh": "double", "predicted_remaining_cycles": "double", "failure_probability": "double",
+        "risk_tier": "string", "top_risk_driver": "string"},
+    "escalation_actions": {
+        "escalation_action_id": "bigint", "cell_id": "string", "action_status": "string", "review_decision": "string",
+        "false_positive_flag": "boolean", "false_negative_flag": "boolean", "owner_role": "string", "opened_ts": "timestamp_ntz",
+        "reviewed_ts": "timestamp_ntz", "closed_ts": "timestamp_ntz"},
 }
 
+# Legal steps of a hold's status; a history begins with open.
+HOLD_STEPS = (("open", "review"), ("open", "closed"), ("review", "open"), ("review", "closed"), ("closed", "open"))
+
 
 def _count(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
@@ -136,3 +155,68 @@ def check_factory(cells: DataFrame) -> DataFrame:
         _count(~F.col("test_temperature").between(15.0, 26.5)).alias("temperature_out_of_range"),
         _count(F.col("test_date") < F.col("manufacturing_date")).alias("tested_before_made"))
     return _beside(plain, _repeats(cells, ["cell_id"]))
+
+
+def _unknown(df: DataFrame, key: str, known: DataFrame, known_key: str, out: str) -> DataFrame:
+    """One row: rows of ``df`` whose non-null ``key`` ``known`` does not have; rows are counted per key before the join."""
+    used = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    there = known.select(F.col(known_key).alias(key)).distinct()
+    return used.join(there, key, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias(out))
+
+
+def hold_steps(holds: DataFrame) -> DataFrame:
+    """Each action with ``before``, the status of the action before it on the same lot, station or cell, and ``illegal``.
+
+    Actions follow one another by opening time, then id; one without its scope's id belongs to no history."""
+    scoped = F.when(F.col("hold_scope") == "lot", F.col("lot_id")).when(F.col("hold_scope") == "station", F.col("station_id")).when(
+        F.col("hold_scope") == "cell", F.col("cell_id"))
+    told = holds.withColumn("_of", scoped).where(F.col("_of").isNotNull()).withColumn("_status", F.coalesce("hold_status", F.lit("")))
+    ran = running_before(told, ["hold_scope", "_of"], F.date_trunc("month", F.col("hold_opened_ts")),
+                         ["hold_opened_ts", "quality_hold_id"], {"before": ("last", "_status")})
+    legal = (F.col("before").isNull() & (F.col("_status") == "open"))
+    for a, b in HOLD_STEPS:
+        legal = legal | ((F.col("before") == a) & (F.col("_status") == b))
+    return ran.withColumn("illegal", ~F.coalesce(legal, F.lit(False))).drop("_of", "_status")
+
+
+def check_holds(holds: DataFrame) -> DataFrame:
+    status, scope = F.col("hold_status"), F.col("hold_scope")
+    ids = {"lot": "lot_id", "station": "station_id", "cell": "cell_id"}
+    fits = F.lit(False)
+    for s, own in ids.items():
+        one = (scope == s) & F.col(own).isNotNull()
+        for other in ids.values():
+            one = one & F.col(other).isNull() if other != own else one
+        fits = fits | one
+    plain = holds.agg(
+        F.count(F.lit(1)).alias("checked_rows"),
+        _count(status.isNull() | ~status.isin("open", "review", "closed")).alias("unknown_status"),
+        _count((status == "closed") & F.col("hold_closed_ts").isNull()).alias("closed_without_time"),
+        _count((status == "closed") & F.col("release_criteria").isNull()).alias("closed_without_criteria"),
+        _count(F.col("hold_closed_ts") < F.col("hold_opened_ts")).alias("closed_before_opened"),
+        _count(~F.coalesce(fits, F.lit(False))).alias("scope_mismatch"))
+    return _beside(plain, _repeats(holds, ["quality_hold_id"]), hold_steps(holds).agg(_count(F.col("illegal")).alias("illegal_steps")))
+
+
+def check_dispositions(dispositions: DataFrame, holds: DataFrame, cells: DataFrame) -> DataFrame:
+    refs = [F.col(c).isNull() for c in ("cell_id", "quality_hold_id", "failure_event_id")]
+    plain = dispositions.agg(
+        F.count(F.lit(1)).alias("checked_rows"), _count(refs[0] & refs[1] & refs[2]).alias("without_reference"),
+        _count(F.col("closed_ts").isNotNull() & F.col("final_outcome").isNull()).alias("closed_without_outcome"),
+        _count(F.col("closed_ts") > F.col("ingested_at")).alias("closed_in_future"))
+    return _beside(plain, _repeats(dispositions, ["disposition_id"]),
+                   _unknown(dispositions, "quality_hold_id", holds, "quality_hold_id", "unknown_hold_rows"),
+                   _unknown(dispositions, "cell_id", cells, "cell_id", "unknown_cell_rows"))
+
+
+def check_actions(actions: DataFrame, cells: DataFrame) -> DataFrame:
+    status = F.col("action_status")
+    fp, fn = F.coalesce("false_positive_flag", F.lit(False)), F.coalesce("false_negative_flag", F.lit(False))
+    evidence = F.col("reviewed_ts").isNotNull() & F.col("review_decision").isNotNull()
+    plain = actions.agg(
+        F.count(F.lit(1)).alias("checked_rows"),
+        _count(F.col("opened_ts").isNotNull() & (F.col("owner_role").isNull() | status.isNull())).alias("opened_without_owner_or_status"),
+        _count((status == "closed") & F.col("review_decision").isNull()).alias("closed_without_decision"),
+        _count(F.col("closed_ts") < F.col("opened_ts")).alias("closed_before_opened"),
+        _count((fp | fn) & ~evidence).alias("flag_without_evidence"), _count(fp & fn).alias("both_flags"))
+    return _beside(plain, _repeats(actions, ["escalation_action_id"]), _unknown(actions, "cell_id", cells, "cell_id", "unknown_cell_rows"))

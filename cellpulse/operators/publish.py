@@ -9,12 +9,22 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
+
 
 def _fs(spark: SparkSession, path: str):
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh folder in the shared checkpoint folder, removed when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sink-{uuid.uuid4().hex}"
+    fs, hpath = _fs(spark, path)
+    fs.deleteOnExit(hpath)
+    return f"{path}/{name}"
+
+
 def current_version(spark: SparkSession, path: str) -> str | None:
     fs, marker = _fs(spark, f"{path}/CURRENT")
     if not fs.exists(marker):

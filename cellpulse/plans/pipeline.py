@@ -11,9 +11,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, events, features, marts, scoring, warehouse
+from .. import config
+from ..operators import cleaning, evaluate, events, features, marts, publish, scoring, warehouse
 from ..session import cut_lineage
-from ..sources import bridge
+from ..sources import bridge, rawlog
 
 
 class Pipeline:
@@ -40,6 +41,13 @@ class Pipeline:
         # projection is materialised once (reliable checkpoint) the same way.
         return cut_lineage(bridge.landing_cycles(self.spark, self.sf_dir))
 
+    @cached_property
+    def raw_log_path(self) -> str:
+        """Telemetry text files of the landed rows, written once by a Spark job to the shared folder."""
+        path = publish.shared_folder(self.spark, "telemetry")
+        rawlog.render_raw_log(self.landing_cycles, self.factory).write.text(path)
+        return path
+
     # ---- cleaning + series --------------------------------------------
     @cached_property
     def clean_blocked(self) -> DataFrame:
@@ -103,6 +111,14 @@ class Pipeline:
         return cut_lineage(features.early_warning_features(self.stats, self.factory, self.rates,
                                                            self.failure_events))
 
+    @cached_property
+    def release_cycles(self) -> DataFrame:
+        """Cycle features with ``is_train``, the side of their cell in the release split; stored, as every fit and metric reads it."""
+        split = evaluate.ordered_split(self.factory.select("cell_id", "manufacturing_date"), "manufacturing_date", "cell_id",
+                                       config.RELEASE_TRAIN_FRACTION).select("cell_id", "is_train")
+        used = sorted({*config.SOH_FEATURES, *config.RUL_FEATURES, "remaining_cycles", "cycle_index"})
+        return cut_lineage(self.cycle_features.select("cell_id", *used).join(split, "cell_id"))
+
     # ---- warehouse ----------------------------------------------------
     @cached_property
     def dim_test_condition(self) -> DataFrame:

@@ -143,9 +143,7 @@ reg AS (SELECT t.soh_current, t.remaining_cycles,
 
 
 def _reg_rows(p):
-    s = _split(p).select("cell_id", "is_train")
-    cf = p.cycle_features.join(s, "cell_id")
-    train, test = cf.where("is_train"), cf.where("not is_train")
+    train, test = p.release_cycles.where("is_train"), p.release_cycles.where("not is_train")
     out = scoring.soh_baseline(train, test, out="soh_hat")
     return scoring.rul_baseline(out, out="rul_hat")
 

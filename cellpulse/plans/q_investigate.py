@@ -269,6 +269,70 @@ def contract_conformance(p):
     return contracts.conformance(text, "usage_telemetry", contracts.CONTRACT["usage_telemetry"])
 
 
+@register("contract_quality_holds", _over("""
+, told AS (SELECT *, CASE hold_scope WHEN 'lot' THEN lot_id WHEN 'station' THEN station_id ELSE cell_id END AS held FROM holds),
+steps AS (SELECT coalesce(lag(hold_status) OVER (PARTITION BY hold_scope, held ORDER BY hold_opened_ts, quality_hold_id), 'start')
+    || '>' || hold_status AS step FROM told WHERE held IS NOT NULL)
+SELECT count(*) AS checked_rows, count(*) FILTER (WHERE hold_status NOT IN ('open', 'review', 'closed')) AS unknown_status,
+  count(*) FILTER (WHERE hold_status = 'closed' AND hold_closed_ts IS NULL) AS closed_without_time,
+  count(*) FILTER (WHERE hold_status = 'closed' AND release_criteria IS NULL) AS closed_without_criteria,
+  count(*) FILTER (WHERE hold_closed_ts < hold_opened_ts) AS closed_before_opened,
+  count(*) FILTER (WHERE held IS NULL OR (lot_id IS NOT NULL)::INT + (station_id IS NOT NULL)::INT + (cell_id IS NOT NULL)::INT > 1) AS scope_mismatch,
+  count(*) - count(DISTINCT quality_hold_id) AS duplicate_rows,
+  (SELECT count(*) FROM steps WHERE step NOT IN ('start>open', 'open>review', 'open>closed', 'review>open', 'review>closed', 'closed>open'))
+    AS illegal_steps
+FROM told"""))
+def contract_quality_holds(p):
+    return contracts.check_holds(production.quality_holds(p.spark, p.sf_dir))
+
+
+@register("contract_engineering_dispositions", _over("""
+SELECT count(*) AS checked_rows, count(*) FILTER (WHERE coalesce(cell_id, CAST(quality_hold_id AS VARCHAR), CAST(failure_event_id AS VARCHAR)) IS NULL)
+    AS without_reference,
+  count(*) FILTER (WHERE closed_ts IS NOT NULL AND final_outcome IS NULL) AS closed_without_outcome,
+  count(*) FILTER (WHERE closed_ts > ingested_at) AS closed_in_future, count(*) - count(DISTINCT disposition_id) AS duplicate_rows,
+  count(*) FILTER (WHERE quality_hold_id NOT IN (SELECT quality_hold_id FROM holds)) AS unknown_hold_rows,
+  count(*) FILTER (WHERE cell_id NOT IN (SELECT cell_id FROM factory)) AS unknown_cell_rows
+FROM dispositions"""))
+def contract_engineering_dispositions(p):
+    return contracts.check_dispositions(production.dispositions(p.spark, p.sf_dir), production.quality_holds(p.spark, p.sf_dir), p.factory)
+
+
+@register("contract_escalation_actions", _over("""
+SELECT count(*) AS checked_rows, count(*) FILTER (WHERE owner_role IS NULL OR action_status IS NULL) AS opened_without_owner_or_status,
+  count(*) FILTER (WHERE action_status = 'closed' AND review_decision IS NULL) AS closed_without_decision,
+  count(*) FILTER (WHERE closed_ts < opened_ts) AS closed_before_opened,
+  count(*) FILTER (WHERE (false_positive_flag OR false_negative_flag) AND (reviewed_ts IS NULL OR review_decision IS NULL)) AS flag_without_evidence,
+  count(*) FILTER (WHERE false_positive_flag AND false_negative_flag) AS both_flags,
+  count(*) - count(DISTINCT escalation_action_id) AS duplicate_rows,
+  count(*) FILTER (WHERE cell_id NOT IN (SELECT cell_id FROM factory)) AS unknown_cell_rows
+FROM actions"""))
+def contract_escalation_actions(p):
+    return contracts.check_actions(production.escalation_actions(p.spark, p.sf_dir), p.factory)
+
+
+def _profile_sql(table: str, rows: str) -> str:
+    """The profile of a table whose columns all arrive with their declared types."""
+    names = list(contracts.CONTRACT[table])
+    return (f"SELECT '{table}' AS table_name, unnest({names}) AS column_name, true AS present, unnest(["
+            + ", ".join(f"count(*) - count({c})" for c in names) + f"]) AS nulls, 0 AS uncastable FROM {rows}")
+
+
+@register("contract_profile", _over(" UNION ALL ".join(_profile_sql(t, rows) for t, rows in (
+    ("quality_holds", "holds"), ("engineering_dispositions", "dispositions"), ("escalation_actions", "actions"),
+    ("failure_events", "failure_events"), ("model_predictions", "predictions")))))
+def contract_profile(p):
+    """Conformance of holds, dispositions, actions, failure events and predictions to their declared columns."""
+    frames = {"quality_holds": production.quality_holds(p.spark, p.sf_dir), "engineering_dispositions": production.dispositions(p.spark, p.sf_dir),
+              "escalation_actions": production.escalation_actions(p.spark, p.sf_dir), "failure_events": p.failure_events,
+              "model_predictions": p.predictions}
+    out = None
+    for name, df in frames.items():
+        rows = contracts.conformance(df, name, contracts.CONTRACT[name])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # ---- further report queries -------------------------------------------------------------------------------------------
 @register("passfail_medians_iqr", f"""
 SELECT y AS escalation_required, feature, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) - quantile_cont(x, 0.25) AS iqr

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.scalar import risk_tier
 from ..operators import evaluate as ev
-from ..operators import survival
+from ..operators import scoring, survival
 from ..operators.reports import top_k
 from ..session import cut_lineage
-from .q_evaluate import _split
+from .q_evaluate import REG_SQL, SPLIT_SQL, _CLS_SQL, _metrics_sql, _reg_rows, _scored_holdout, _split
 from .registry import register
 
 
@@ -75,6 +75,35 @@ def train_failure(p):
     return ev.classification_metrics(test, "label", "p").select(F.lit(name).alias("model"), "*")
 
 
+def _regressors(target: str, rounds: int, trees: int, depth: int, step: float) -> dict[str, list]:
+    """The candidate regressors of ``target``, each as the stages after the assembler."""
+    return {
+        "LinearRegression": [StandardScaler(inputCol="features_raw", outputCol="features"), LinearRegression(labelCol=target)],
+        "GradientBoosting": [GBTRegressor(featuresCol="features_raw", labelCol=target, maxIter=rounds, seed=config.SEED,
+                                          maxDepth=config.SOH_BOOST_DEPTH, stepSize=step)],
+        "RandomForest": [RandomForestRegressor(featuresCol="features_raw", labelCol=target, numTrees=trees, maxDepth=depth,
+                                               minInstancesPerNode=config.SOH_FOREST_LEAF, featureSubsetStrategy="all",
+                                               seed=config.SEED)],
+    }
+
+
+def best_regressor(train, features, target: str, rounds: int = config.SOH_BOOST_ROUNDS, trees: int = config.SOH_FOREST_TREES,
+                   depth: int = config.FOREST_DEPTH, step: float = config.SOH_BOOST_STEP):
+    """Name and model of the regressor of least error on a validation fold of whole cells, fitted again on all of ``train``.
+
+    ``train`` should be a stored table: every fit reads it.  Rows without the target take no part."""
+    t = _grouped_split(train.where(F.col(target).isNotNull()).withColumn(target, F.col(target).cast("double")))
+    fold, valid = (t.where(F.col("is_test") == side) for side in (False, True))
+    stages, tried = [_assembler(features)], []
+    cands = _regressors(target, rounds, trees, depth, step)
+    for name, last in cands.items():
+        scored = MLPipeline(stages=stages + last).fit(fold).transform(valid)
+        rmse = ev.regression_metrics(scored, target, "prediction").first()["rmse"]  # one metrics row
+        tried.append((float("inf") if rmse is None else rmse, name))
+    name = min(tried)[1]
+    return name, MLPipeline(stages=stages + cands[name]).fit(t)
+
+
 def fit_regressors(table, features, target: str, rounds: int = config.SOH_BOOST_ROUNDS, trees: int = config.SOH_FOREST_TREES,
                    depth: int = config.FOREST_DEPTH, step: float = config.SOH_BOOST_STEP):
     """Holdout metrics of linear, boosted and forest regressors of ``target``, with each one's error on a validation fold.
@@ -88,16 +117,8 @@ def fit_regressors(table, features, target: str, rounds: int = config.SOH_BOOST_
     folds = {"test": stored.where(place < test), "valid": stored.where((place >= test) & (place < valid)),
              "train": stored.where(place >= valid)}
     stages = [_assembler(features)]
-    cands = {
-        "LinearRegression": [StandardScaler(inputCol="features_raw", outputCol="features"), LinearRegression(labelCol=target)],
-        "GradientBoosting": [GBTRegressor(featuresCol="features_raw", labelCol=target, maxIter=rounds, seed=config.SEED,
-                                          maxDepth=config.SOH_BOOST_DEPTH, stepSize=step)],
-        "RandomForest": [RandomForestRegressor(featuresCol="features_raw", labelCol=target, numTrees=trees, maxDepth=depth,
-                                               minInstancesPerNode=config.SOH_FOREST_LEAF, featureSubsetStrategy="all",
-                                               seed=config.SEED)],
-    }
     rows = None
-    for name, last in cands.items():
+    for name, last in _regressors(target, rounds, trees, depth, step).items():
         m = MLPipeline(stages=stages + last).fit(folds["train"])
         met = ev.regression_metrics(m.transform(folds["test"]), target, "prediction").select(F.lit(name).alias("model"), "*")
         checked = ev.regression_metrics(m.transform(folds["valid"]), target, "prediction").select(F.col("rmse").alias("valid_rmse"))
@@ -185,3 +206,90 @@ def survival_top_10_model(p):
     scored = survival_predictions(fit_hazard(cells.where("is_train")), cells.where("not is_train"), longest)
     return top_k(scored.select("cell_id", F.col("event_probability_by_500_cycles").alias("event_risk")),
                  [F.desc("event_risk"), F.asc("cell_id")], 10)
+
+
+# ---- the four models of a release: fitted on its earlier cells, measured on the later ones, applied to all ----------
+def _release_models(p) -> dict:
+    """Name and model per target, fitted once per pipeline on the earlier cells of the release split, at ``config.QUERY_SIZES``."""
+    if not hasattr(p, "_release_models"):
+        earlier = _split(p).where("is_train").select("cell_id")
+        cycles, size = p.release_cycles.where("is_train"), {k: config.QUERY_SIZES[k] for k in ("trees", "depth")}
+        cells = cut_lineage(p.cell_features.join(earlier, "cell_id"))
+        early = cut_lineage(p.early_warning_features.join(earlier, "cell_id").dropna(subset=list(config.EARLY_WARNING_FEATURES)))
+        p._release_models = {
+            "SOH": best_regressor(cycles, config.SOH_FEATURES, "soh_current", **config.QUERY_SIZES),
+            "RUL": best_regressor(cycles, config.RUL_FEATURES, "remaining_cycles", **config.QUERY_SIZES),
+            "Failure risk": fit_failure_classifier(cells, **size)[:2],
+            "Early warning": fit_failure_classifier(early, config.EARLY_WARNING_FEATURES, **size)[:2],
+        }
+    return p._release_models
+
+
+def long_metrics(metrics, target: str, approach: str):
+    """One row of metrics as rows target, approach, metric, value; counts of the confusion matrix left out."""
+    names = [c for c in metrics.columns if c not in ("tp", "fp", "tn", "fn")]
+    return metrics.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in names]))
+                          .alias("m")).select(F.lit(target).alias("target"), F.lit(approach).alias("approach"), "m.*")
+
+
+@register("backtest_baseline_rows", "SELECT * FROM (WITH " + SPLIT_SQL.strip() + "," + REG_SQL.strip() + "\n" + " UNION ALL ".join(
+    f"SELECT '{target}' AS target, '{name}' AS approach, unnest({[*cols]}) AS metric, unnest([{', '.join(cols)}]) AS value FROM ({sql})"
+    for target, name, cols, sql in (
+        ("SOH", "fleet_median_fade_baseline", ("mae", "rmse", "r2"), _metrics_sql("soh_current", "soh_hat")),
+        ("RUL", "current_fade_to_eol_baseline", ("mae", "rmse", "r2"), _metrics_sql("remaining_cycles", "rul_hat")),
+        ("Failure risk", "soh_station_rule_baseline", ("precision", "recall", "f1", "roc_auc"), _CLS_SQL))) + ")")
+def backtest_baseline_rows(p):
+    """The three baselines on the later cells, one row a metric."""
+    reg = _reg_rows(p)
+    return (long_metrics(ev.regression_metrics(reg, "soh_current", "soh_hat"), "SOH", "fleet_median_fade_baseline")
+            .unionByName(long_metrics(ev.regression_metrics(reg, "remaining_cycles", "rul_hat"), "RUL", "current_fade_to_eol_baseline"))
+            .unionByName(long_metrics(ev.classification_metrics(_scored_holdout(p), "y", "p"), "Failure risk", "soh_station_rule_baseline")))
+
+
+@register("backtest_metrics")
+def backtest_metrics(p):
+    """Models fitted on the earlier cells beside the baselines, measured on the later cells: target, approach, metric, value."""
+    models = _release_models(p)
+    later = _split(p).where("not is_train").select("cell_id")
+    out = backtest_baseline_rows(p)
+    cycles = p.release_cycles.where("not is_train")
+    for target, y in (("SOH", "soh_current"), ("RUL", "remaining_cycles")):
+        name, model = models[target]
+        rows = model.transform(cycles.where(F.col(y).isNotNull()))
+        out = out.unionByName(long_metrics(ev.regression_metrics(rows, y, "prediction"), target, name))
+    name, model = models["Failure risk"]
+    rows = model.transform(p.cell_features.join(later, "cell_id")).select(
+        F.col("escalation_required").alias("y"), vector_to_array("probability")[1].alias("p"))
+    return out.unionByName(long_metrics(ev.classification_metrics(rows, "y", "p"), "Failure risk", name))
+
+
+def _importance(model, features) -> list[tuple[str, float]]:
+    """Features by falling importance: a forest's own, else the share of a standardised coefficient's size."""
+    last = model.stages[-1]
+    sizes = last.featureImportances.toArray() if hasattr(last, "featureImportances") else abs(last.coefficients.toArray())
+    total = sizes.sum() or 1.0
+    return sorted(((f, float(v / total)) for f, v in zip(features, sizes)), key=lambda fv: (-fv[1], fv[0]))
+
+
+@register("score_cells_four_models")
+def score_cells_four_models(p):
+    """One row per cell scored by all four fitted models: health and remaining cycles at its latest cycle, failure and
+    early-warning probability with tiers, driver by the failure model's importances.  A cell without a whole early
+    window has no early-warning score."""
+    models = _release_models(p)
+    wanted = sorted({*config.SOH_FEATURES, *config.RUL_FEATURES})
+    latest = p.release_cycles.groupBy("cell_id").agg(F.max_by(F.struct(*wanted), "cycle_index").alias("s")).select("cell_id", "s.*")
+    soh = models["SOH"][1].transform(latest).select("cell_id", F.col("prediction").alias("soh"))
+    rul = models["RUL"][1].transform(latest).select("cell_id", F.col("prediction").alias("rul"))
+    fail = models["Failure risk"][1].transform(p.cell_features).select("cell_id", vector_to_array("probability")[1].alias("fp"))
+    whole = p.early_warning_features.dropna(subset=list(config.EARLY_WARNING_FEATURES))
+    early = models["Early warning"][1].transform(whole).select("cell_id", vector_to_array("probability")[1].alias("ep"))
+    drivers = scoring.top_risk_driver(p.cell_features, _importance(models["Failure risk"][1], config.FAILURE_FEATURES))
+    all_scores = (fail.join(soh, "cell_id").join(rul, "cell_id").join(drivers.select("cell_id", "top_risk_driver"), "cell_id")
+                  .join(early, "cell_id", "left"))
+    return all_scores.select(
+        "cell_id", F.bround(F.greatest(F.least(F.col("soh"), F.lit(config.SOH_CLIP[1])), F.lit(config.SOH_CLIP[0])), 4).alias("predicted_soh"),
+        F.bround(F.greatest(F.col("rul"), F.lit(0.0)), 1).alias("predicted_remaining_cycles"),
+        F.bround("fp", 4).alias("failure_probability"), risk_tier(F.col("fp")).alias("risk_tier"),
+        F.bround("ep", 4).alias("early_warning_probability"),
+        F.when(F.col("ep").isNotNull(), risk_tier(F.col("ep"))).alias("early_warning_risk_tier"), "top_risk_driver")

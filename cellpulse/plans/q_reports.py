@@ -64,11 +64,15 @@ def adhoc_urgent_cells(p):
                     "predicted_soh", "predicted_remaining_cycles", "top_risk_driver")
 
 
+def _mean_of(x: str) -> str:
+    return f"(SELECT sum({x}) / nullif(count({x}), 0) FROM health WHERE usage_profile IS NOT DISTINCT FROM profile.name)"
+
+
 @register("adhoc_usage_drivers", f"""
-SELECT usage_profile, count(*) AS cells, {R('avg(capacity_fade_rate)', 6)} AS avg_capacity_fade_rate,
-  {R('avg(resistance_growth_rate)', 6)} AS avg_resistance_growth_rate, {R('avg(last_soh)', 4)} AS avg_last_soh,
-  {R('avg(failure_probability)', 4)} AS avg_failure_probability
-FROM health GROUP BY usage_profile""")
+SELECT profile.name AS usage_profile, profile.cells, {R(_mean_of('capacity_fade_rate'), 6)} AS avg_capacity_fade_rate,
+  {R(_mean_of('resistance_growth_rate'), 6)} AS avg_resistance_growth_rate, {R(_mean_of('last_soh'), 4)} AS avg_last_soh,
+  {R(_mean_of('failure_probability'), 4)} AS avg_failure_probability
+FROM (SELECT usage_profile AS name, count(*) AS cells FROM health GROUP BY ALL) profile""")
 def adhoc_usage_drivers(p):
     return p.health.groupBy("usage_profile").agg(
         F.count(F.lit(1)).alias("cells"),
@@ -78,8 +82,9 @@ def adhoc_usage_drivers(p):
         r(F.avg("failure_probability"), 4).alias("avg_failure_probability"))
 
 
-_BAND_SQL = ("CASE WHEN f.high_temp_exposure_hours < 40 THEN '0-40h' WHEN f.high_temp_exposure_hours < 80 THEN '40-80h' "
-             "WHEN f.high_temp_exposure_hours < 120 THEN '80-120h' ELSE '120h+' END")
+# Bands of 40 hours, the fourth and unknown hours open upwards.
+_BAND = "coalesce(greatest(0, least(3, CAST(floor(f.high_temp_exposure_hours / 40) AS INTEGER))), 3)"
+_BAND_SQL = f"(40 * {_BAND}) || if({_BAND} = 3, 'h+', '-' || (40 * {_BAND} + 40) || 'h')"
 
 
 @register("exposure_band", f"SELECT f.cell_id, {_BAND_SQL} AS high_temp_exposure_band FROM cell_features f")
@@ -89,10 +94,14 @@ def exposure_band_q(p):
 
 
 @register("adhoc_thermal_band", f"""
-SELECT {_BAND_SQL} AS high_temp_exposure_band, count(*) AS cells,
-  {R('avg(f.capacity_fade_rate)', 6)} AS avg_capacity_fade_rate, {R('avg(f.final_soh)', 4)} AS avg_final_soh,
-  {R('avg(fe.thermal_anomaly_event)', 4)} AS thermal_anomaly_rate
-FROM cell_features f JOIN failure_events fe USING (cell_id) GROUP BY 1""")
+SELECT high_temp_exposure_band, CAST(sum(n) AS BIGINT) AS cells, {R('sum(fade) / nullif(sum(fades), 0)', 6)} AS avg_capacity_fade_rate,
+  {R('sum(soh) / nullif(sum(sohs), 0)', 4)} AS avg_final_soh, {R('sum(hot) / sum(n)', 4)} AS thermal_anomaly_rate
+FROM (
+  SELECT {_BAND_SQL} AS high_temp_exposure_band, count(e.cell_id) AS n, count(e.cell_id) FILTER (WHERE e.thermal_anomaly_event = 1) AS hot,
+    f.capacity_fade_rate * n AS fade, if(f.capacity_fade_rate IS NULL, 0, n) AS fades, f.final_soh * n AS soh, if(f.final_soh IS NULL, 0, n) AS sohs
+  FROM cell_features f, failure_events e WHERE e.cell_id = f.cell_id
+  GROUP BY f.cell_id, f.high_temp_exposure_hours, f.capacity_fade_rate, f.final_soh)
+GROUP BY ALL""")
 def adhoc_thermal_band(p):
     j = p.cell_features.select("cell_id", "high_temp_exposure_hours", "capacity_fade_rate", "final_soh").join(
         p.failure_events.select("cell_id", "thermal_anomaly_event"), "cell_id")
@@ -105,9 +114,16 @@ def adhoc_thermal_band(p):
 
 
 @register("adhoc_fleet_snapshot", f"""
-SELECT coalesce(risk_tier, 'Unscored') AS risk_tier, count(*) AS cells, {R('avg(predicted_soh)', 4)} AS avg_predicted_soh,
-  {R('avg(predicted_remaining_cycles)', 1)} AS avg_remaining_cycles
-FROM health GROUP BY 1""")
+SELECT tier.name AS risk_tier, tier.cells, {R('tier.soh / nullif(tier.sohs, 0)', 4)} AS avg_predicted_soh,
+  {R('tier.left_over / nullif(tier.lefts, 0)', 1)} AS avg_remaining_cycles
+FROM (
+  SELECT risk_tier AS name, count(*) AS cells, sum(predicted_soh) AS soh, count(predicted_soh) AS sohs,
+    sum(predicted_remaining_cycles) AS left_over, count(predicted_remaining_cycles) AS lefts
+  FROM health WHERE risk_tier IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT 'Unscored', count(*), sum(predicted_soh), count(predicted_soh), sum(predicted_remaining_cycles), count(predicted_remaining_cycles)
+  FROM health WHERE risk_tier IS NULL) tier
+WHERE tier.cells > 0""")
 def adhoc_fleet_snapshot(p):
     return (p.health.withColumn("risk_tier", F.coalesce("risk_tier", F.lit("Unscored")))
             .groupBy("risk_tier").agg(F.count(F.lit(1)).alias("cells"),
