@@ -6,7 +6,9 @@ other speaker as a named user and system turns as system.  The loss mask is a
 list of character spans: the participant's own texts with their end marker.
 
 A rendering is cut into chunks of ``TURNS`` turn numbers, whose concatenation
-in order is the whole dialogue; offsets count from its start.  So no task or
+in order is the whole dialogue; offsets count from its start.  Where a chunk
+starts comes from text lengths summed per (conversation, role, chunk), added up in
+runs of ``RUN`` chunks; texts only meet inside their chunk.  So no task or
 row ever holds an unbounded conversation, however many turns it has.
 
 Defined cases: null text renders as empty; a null role speaks as ``unknown``;
@@ -22,6 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 TURNS = 64
+#: Chunks whose sizes are summed in one window task.
+RUN = 1024
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
 
@@ -33,35 +37,50 @@ def rotate(conversations: DataFrame, turns: int = TURNS) -> DataFrame:
         F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |")).alias("text"))
     speakers = (said.where(F.col("role") != "system").select(F.col("conv_id").alias("s_conv"),
                                                              F.col("role").alias("perspective")).distinct())
-    seen = said.join(speakers, F.col("conv_id").eqNullSafe(F.col("s_conv"))).drop("s_conv")
+    said = said.withColumn("chunk", F.floor(F.col("turn") / F.lit(turns)).cast("long"))
+    same = F.col("conv_id").eqNullSafe(F.col("s_conv"))
+    # A struct is never null, so a null conversation is a key like any other and joins on the partitioning that groups it.
+    seen = said.join(speakers, same).withColumn("conv", F.struct("conv_id")).drop("s_conv", "conv_id")
     own = F.col("role") == F.col("perspective")
     head = F.concat(F.lit(OPEN), F.when(F.col("role") == "system", F.lit("system")).when(own, F.lit("assistant"))
                     .otherwise(F.concat(F.lit("user name="), F.replace("role", F.lit("<|"), F.lit("< |")))),
                     F.lit("\n"))
     body = F.concat("text", F.lit(CLOSE))
-    seen = (seen.withColumn("chunk", F.floor(F.col("turn") / F.lit(turns)).cast("long"))
-            .withColumn("own", own).withColumn("head", head).withColumn("body", body)
+    seen = (seen.withColumn("own", own).withColumn("head", head).withColumn("body", body)
             .withColumn("size", F.length("head") + F.length("body") + 1))
-    keys = ["conv_id", "perspective", "chunk"]
+    keys = ["conv", "perspective", "chunk"]
     order = ["turn", "role", "text"]
     before = F.sum("size").over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
     at = seen.withColumn("at", (before - F.col("size")).cast("long"))
     chunks = at.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_turns"), F.sum("size").alias("chars"),
         F.sort_array(F.collect_list(F.struct("at", "own", "head", "body"))).alias("parts"))
-    chunks = chunks.withColumn("chunk_start", F.sum("chars").over(
-        Window.partitionBy("conv_id", "perspective").orderBy("chunk")) - F.col("chars"))
+    told = said.groupBy("conv_id", "chunk", "role").agg((F.sum(F.length("text") + len(CLOSE) + 1)).alias("n_chars"), F.count(F.lit(1)).alias("n"))
+    told = told.join(speakers, same).withColumn("conv", F.struct("conv_id")).drop("s_conv", "conv_id")
+    chunks = chunks.join(_starts(told.withColumn("n_chars", F.col("n_chars") + F.col("n") * F.length(head))), keys)
     mine = F.filter("parts", lambda p: p["own"])
     span = F.transform(mine, lambda p: F.concat_ws(
         ":", (F.col("chunk_start") + p["at"] + F.length(p["head"])).cast("string"),
         (F.col("chunk_start") + p["at"] + F.length(p["head"]) + F.length(p["body"])).cast("string")))
     return chunks.select(
-        *keys, "chunk_start", "n_turns",
+        F.col("conv.conv_id").alias("conv_id"), "perspective", "chunk", "chunk_start", "n_turns",
         F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"], F.lit("\n"))), "").alias("rendered"),
         F.array_join(span, ",").alias("loss_spans"),
         F.aggregate(mine, F.lit(0).cast("long"), lambda a, p: a + F.length(p["body"])).alias("loss_chars"))
 
 
+def _starts(told: DataFrame) -> DataFrame:
+    """conv, perspective, chunk, chunk_start from the characters of each chunk by role."""
+    sizes = told.groupBy("conv", "perspective", "chunk").agg(F.sum("n_chars").alias("n")).withColumn(
+        "run", F.floor(F.col("chunk") / F.lit(RUN)).cast("long"))
+    who = ["conv", "perspective"]
+    runs = sizes.groupBy(*who, "run").agg(F.sum("n").alias("r")).withColumn(
+        "before", F.sum("r").over(Window.partitionBy(*who).orderBy("run")) - F.col("r")).drop("r")
+    inside = F.sum("n").over(Window.partitionBy(*who, "run").orderBy("chunk")) - F.col("n")
+    return sizes.withColumn("inside", inside).join(runs, [*who, "run"]).select(
+        *who, "chunk", (F.col("before") + F.col("inside")).alias("chunk_start"))
+
+
 def query(conversations: DataFrame) -> DataFrame:
     return rotate(conversations)
 

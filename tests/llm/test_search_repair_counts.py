@@ -267,3 +267,16 @@ def test_rows_without_an_id_fill_no_single_block(spark):
     assert all(sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sizes[s])) for s in range(8))
     blocks = docs.selectExpr("doc_id", "crc32(cast(text as binary)) as c").selectExpr("pmod(xxhash64(doc_id, c, 17), 4096) as b")
     assert blocks.groupBy("b").count().agg(F.max("count")).first()[0] < 20
+
+
+def test_chat_rotation_starts_over_many_runs_of_chunks(spark, monkeypatch):
+    from cellpulse.llm import chat_rotation as rotation
+    monkeypatch.setattr(rotation, "RUN", 2)
+    rows = [(c, t, ["a", "b", "system", None][(t * 7) % 4], "x" * (t % 11)) for c in ("hot", None) for t in range(-40, 600)]
+    got = rotation.rotate(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"), turns=16)
+    whole = {}
+    for r in got.orderBy("conv_id", "perspective", "chunk").collect():
+        key = (r["conv_id"], r["perspective"])
+        assert r["chunk_start"] == whole.get(key, 0)
+        whole[key] = r["chunk_start"] + len(r["rendered"])
+    assert len(whole) == 6 and got.count() == 6 * 41  # chunks -3 to 37
