@@ -152,3 +152,52 @@ def test_stream_parse_equals_batch(spark, tmp_path):
     batch = rawlog.parse_raw_log(spark.read.text(src))
     assert streamed.count() == batch.count() > 0
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_cycle_series_of_long_cells_matches_plain_windows(spark):
+    """Small cycle blocks: A spans many blocks (some with one or two rows), B one; against windows over the whole cell."""
+    from pyspark.sql import Window
+
+    from cellpulse.operators import cleaning, features, series
+    rng = np.random.default_rng(5)
+    cycles = [("A", int(c)) for c in (*range(1, 40, 7), *range(50, 120), 131, 132, *range(150, 160))] + [("B", c) for c in range(1, 12)]
+    rows = [(cell, c, float(3 + rng.random()), float(20 + rng.random()), float(30 + 20 * rng.random()), 30.0, 3.0, i)
+            for i, (cell, c) in enumerate(cycles)]
+    df = spark.createDataFrame(rows, "cell_id string, cycle_index int, discharge_capacity_ah double, internal_resistance_mohm double, "
+                                     "temperature_max double, temperature_mean double, voltage_min double, ingest_seq long")
+    clean = cleaning.clean_cycles_blocked(df, block_rows=8)
+    long_cells = series.keys_of_several_blocks(clean, "cell_id")
+    assert {r.cell_id for r in long_cells.collect()} == {"A", "B"}
+    pos = features.positioned_cycles(clean, long_cells)
+    cols = ["cell_id", "cycle_index", "pos", "n_rows", "initial_capacity_ah", "initial_resistance_mohm", "rolling_capacity_mean_10",
+            "rolling_temperature_max_10", "soh_delta_last_20_cycles", "soh_step"]
+    got = sorted(features.cycle_series(pos).select(cols).collect())
+    w = Window.partitionBy("cell_id").orderBy("cycle_index")
+    every, roll, head = Window.partitionBy("cell_id"), w.rowsBetween(-9, 0), F.col("pos") <= 5
+    cap = F.col("discharge_capacity_ah")
+    exp = (df.withColumn("pos", F.row_number().over(w)).withColumn("n_rows", F.count("*").over(every))
+           .withColumn("initial_capacity_ah", F.avg(F.when(head, cap)).over(every))
+           .withColumn("initial_resistance_mohm", F.avg(F.when(head, F.col("internal_resistance_mohm"))).over(every))
+           .withColumn("soh", cap / F.col("initial_capacity_ah"))
+           .withColumn("rolling_capacity_mean_10", F.avg(cap).over(roll))
+           .withColumn("rolling_temperature_max_10", F.max("temperature_max").over(roll))
+           .withColumn("soh_delta_last_20_cycles", F.coalesce(F.col("soh") - F.lag("soh", 20).over(w), F.lit(0.0)))
+           .withColumn("soh_step", F.col("soh") - F.lag("soh", 1).over(w)))
+    exp = sorted(exp.select(cols).collect())
+    assert len(got) == len(exp)
+    for a, b in zip(got, exp):
+        assert a[:4] == b[:4]
+        assert a[4:9] == pytest.approx(b[4:9], rel=1e-12, abs=1e-12)
+        assert (a[9] is None) == (b[9] is None) and (a[9] is None or a[9] == pytest.approx(b[9], abs=1e-12))
+    # One block a cell: the same without a word from other blocks.
+    whole = features.positioned_cycles(cleaning.clean_cycles_blocked(df))
+    again = sorted(features.cycle_series(whole).select(cols).collect())
+    assert [r[:4] for r in again] == [r[:4] for r in exp] and [r[8] for r in again] == pytest.approx([r[8] for r in exp])
+
+
+def test_series_needs_one_shuffle_of_the_landed_rows(spark, tmp_path):
+    """Cells of one block each: cleaning, numbering, series and features move the landed rows once (before: five times)."""
+    from cellpulse.plans.pipeline import Pipeline
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    plan = p.series._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
