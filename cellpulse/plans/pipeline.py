@@ -6,6 +6,7 @@ prunes columns down to the parquet scans and reuses shared exchanges.
 """
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -172,14 +173,30 @@ def pipeline(spark: SparkSession, sf_dir: str) -> Pipeline:
     return _CACHE[key]
 
 
-def warehouse_tables(p: Pipeline, landing: bool = False) -> dict:
+class WarehouseTables(Mapping):
+    """Name -> DataFrame; a table is built when it is first asked for."""
+
+    def __init__(self, makers: dict):
+        self._makers = makers
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._makers[name]()
+
+    def __iter__(self):
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+def warehouse_tables(p: Pipeline, landing: bool = False) -> Mapping:
     """The star schema as a name -> DataFrame map.  With ``landing`` the cycle
     fact is the raw landed rows (what the quality gate must catch)."""
-    return {
-        "dim_cell": p.dim_cell,
-        "fact_cycle_measurements": p.landing_cycles if landing else p.fact_cycle_measurements,
-        "fact_usage_profile": p.usage,
-        "fact_failure_events": p.failure_events,
-        "fact_model_predictions": p.predictions,
-        "stg_cell_features": p.cell_features,
-    }
+    return WarehouseTables({
+        "dim_cell": lambda: p.dim_cell,
+        "fact_cycle_measurements": lambda: p.landing_cycles if landing else p.fact_cycle_measurements,
+        "fact_usage_profile": lambda: p.usage,
+        "fact_failure_events": lambda: p.failure_events,
+        "fact_model_predictions": lambda: p.predictions,
+        "stg_cell_features": lambda: p.cell_features,
+    })

@@ -201,3 +201,11 @@ def test_series_needs_one_shuffle_of_the_landed_rows(spark, tmp_path):
     p = Pipeline(spark, "/root/testdata/sf0.001")
     plan = p.series._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_quality_checks_build_only_their_tables(spark):
+    from cellpulse.plans.pipeline import Pipeline, warehouse_tables
+    from cellpulse.operators import quality
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    quality.duplicate_cell_cycle(warehouse_tables(p, landing=True))
+    assert "landing_cycles" in p.__dict__ and not {"stats", "predictions", "cell_features", "failure_events"} & set(p.__dict__)
