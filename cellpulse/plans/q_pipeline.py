@@ -105,10 +105,9 @@ SELECT cell_id, arg_min(soh_current, cycle_index) AS start_soh, arg_max(soh_curr
 FROM (SELECT *, row_number() OVER (PARTITION BY cell_id ORDER BY cycle_index DESC) AS rk FROM cycle_features)
 WHERE rk <= 20 GROUP BY cell_id""")
 def recent_cycle_window(p):
-    cf = p.cycle_features.join(p.stats.select("cell_id", "n_rows"), "cell_id")
-    # last 20 rows of each cell: positions > n - 20 (positions come from the blocked numbering)
-    pos = p.series.select("cell_id", "cycle_index", "pos")
-    last = cf.join(pos, ["cell_id", "cycle_index"]).where(F.col("pos") > F.col("n_rows") - 20)
+    # last 20 rows of each cell: positions > n - 20 (positions come from the blocked numbering); only these get features
+    recent = p.series.where(F.col("pos") > F.col("n_rows") - 20)
+    last = features.cycle_features(recent, p.stats, p.cell_context)
     return last.groupBy("cell_id").agg(
         F.min_by("soh_current", "cycle_index").alias("start_soh"),
         F.max_by("soh_current", "cycle_index").alias("end_soh"),
