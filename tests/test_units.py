@@ -209,3 +209,33 @@ def test_quality_checks_build_only_their_tables(spark):
     p = Pipeline(spark, "/root/testdata/sf0.001")
     quality.duplicate_cell_cycle(warehouse_tables(p, landing=True))
     assert "landing_cycles" in p.__dict__ and not {"stats", "predictions", "cell_features", "failure_events"} & set(p.__dict__)
+
+
+def test_quantiles_store_group_and_value_only(spark, monkeypatch):
+    """The copy holds no digits, and rows that are stored already are not copied; shuffled blocks give the same."""
+    from cellpulse.operators import quantiles
+    seen, real = [], quantiles.store
+
+    def spy(df, name):
+        seen.append(df.columns)
+        return real(df, name)
+
+    monkeypatch.setattr(quantiles, "store", spy)
+    df = spark.createDataFrame([(g, float((i * 7919) % 1009) / 7) for g in "ab" for i in range(200)] + [("a", None)], "g string, v double")
+    got = sorted(exact_quantiles(df, "v", [0.1, 0.5], ["g"]).collect())
+    assert seen == [["g", "_v"]]
+    assert sorted(exact_quantiles(df, "v", [0.1, 0.5], ["g"], stored=True).collect()) == got and len(seen) == 1
+    monkeypatch.setattr(quantiles, "BROADCAST_BLOCKS", 0)
+    assert sorted(exact_quantiles(df, "v", [0.1, 0.5], ["g"], stored=True).collect()) == got
+
+
+def test_telemetry_files_are_gzipped_and_joined_narrow(spark):
+    """Lines equal the ones rendered in one piece; the join moves what a line shows, not the measured row."""
+    from cellpulse.plans.pipeline import Pipeline
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    names = [r[0] for r in spark.read.text(p.raw_log_path).select(F.input_file_name()).distinct().collect()]
+    assert names and all(n.endswith(".gz") for n in names)
+    body = rawlog.render_raw_log(p.landing_cycles, p.factory)
+    assert spark.read.text(p.raw_log_path).count() == body.count()
+    joined = body._jdf.queryExecution().optimizedPlan().toString()
+    assert "discharge_capacity_ah" not in joined.split("Join")[0]
