@@ -239,3 +239,24 @@ def test_telemetry_files_are_gzipped_and_joined_narrow(spark):
     assert spark.read.text(p.raw_log_path).count() == body.count()
     joined = body._jdf.queryExecution().optimizedPlan().toString()
     assert "discharge_capacity_ah" not in joined.split("Join")[0]
+
+
+def test_duplicate_cycles_need_no_shuffle_of_cleaned_rows(spark, tmp_path):
+    """Grains that occur twice or more, null keys included, as grouping counts them; cleaned rows are not dealt again."""
+    from cellpulse.operators import cleaning, quality
+    rows = [("a", 1), ("a", 1), ("a", 1), ("a", 2), ("a", 5000), ("a", 5000), ("b", 1), ("b", None), ("b", None), (None, 3),
+            (None, 3), (None, 4), (None, None), (None, None), (None, None), ("c", 7)]
+    df = spark.createDataFrame(rows, "cell_id string, cycle_index int").repartition(5)
+    want = df.groupBy("cell_id", "cycle_index").count().where("count > 1").count()
+    assert want == 5
+    assert quality.duplicate_cell_cycle({"fact_cycle_measurements": df}).first()["offending"] == want
+    landed = spark.createDataFrame([(c, i, 3.0, 25.0, n) for n, (c, i) in enumerate(rows)],
+                                   "cell_id string, cycle_index int, discharge_capacity_ah double, "
+                                   "internal_resistance_mohm double, ingest_seq long")
+    landed.write.parquet(f"{tmp_path}/landed")  # rows of a file, so that no plan folds them away
+    clean = cleaning.clean_cycles_blocked(spark.read.parquet(f"{tmp_path}/landed"))
+    counted = quality.duplicate_cell_cycle({"fact_cycle_measurements": clean})
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1, plan
+    # Cleaning keeps rows without a cycle number, as these compare equal to none.
+    assert counted.first()["offending"] == clean.groupBy("cell_id", "cycle_index").count().where("count > 1").count()
