@@ -22,6 +22,9 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 #: A side of at most this many bytes (counted rows times row width) may be broadcast.
 BROADCAST_BYTES = 48 << 20
+#: Arrow batches on their way to and from Python end at about this size, whatever the length of a text: a task holds a
+#: batch in the JVM, in Python's Arrow memory and as Python strings.
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -34,8 +37,17 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(shutil.make_archive(base, "zip", root, "cellpulse"))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH_BYTES``; a smaller limit already set stays."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(setting))
+    if limit <= 0 or limit > BATCH_BYTES:
+        spark.conf.set(setting, f"{BATCH_BYTES}b")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

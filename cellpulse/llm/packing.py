@@ -26,9 +26,11 @@ Skew: full pieces may be most rows; their class is split into ``RANK_BLOCKS``.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import stored
+from ._common import small_batches, stored
 
 SEQUENCE, END_ID, GRAIN = 2048, 1, 4
 GAP, PIVOT_LIMIT, RANK_BLOCKS = 0.0005, 6000, 1024
@@ -46,22 +48,34 @@ VOCABULARY, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 _COMMON, _LONG = re.compile("[^\x00-⁯]"), 1_000_000
 
 
+def added_tokens(vocabulary: str) -> list[dict]:
+    """The added tokens of a ``tokenizers`` file, without building its merges."""
+    with open(vocabulary, encoding="utf-8") as file:
+        text = file.read()
+    key = re.search(r'"added_tokens"\s*:\s*', text)
+    return json.JSONDecoder().raw_decode(text, key.end())[0] if key else []
+
+
 class Encoder:
     """Ids as ``tokenizers`` gives them without added special tokens.  Plain texts take the same
-    vocabulary's rank file in ``tiktoken``, which gives the same ids several times faster."""
+    vocabulary's rank file in ``tiktoken``, which gives the same ids several times faster; ``tokenizers``
+    itself is loaded with the first text that needs it."""
 
     def __init__(self, vocabulary: str | None = None, ranks: str | None = None):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
-        path, ranks = vocabulary or public_tokenizers.path(VOCABULARY), ranks or public_tokenizers.path(RANKS)
-        self.slow = Tokenizer.from_file(path)
+        self.path, ranks = vocabulary or public_tokenizers.path(VOCABULARY), ranks or public_tokenizers.path(RANKS)
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        special = {t.content: i for i, t in self.slow.get_added_tokens_decoder().items()}
+        special = {t["content"]: t["id"] for t in added_tokens(self.path)}
         self.fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merges,
                                       special_tokens=special)
 
+    @cached_property
+    def slow(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> np.ndarray:
         if len(text) > _LONG or _COMMON.search(text):
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -72,6 +86,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
            vocabulary: str | None = None, ranks: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens (and ids as little-endian uint32 with ``keep_ids``)."""
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary, ranks)

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._common import small_batches
+
 BUCKETS, DIM, GRAMS = 1 << 18, 8, (3, 4, 5)
 WINDOW, STRIDE = 48, 16
 PER_CLASS, TRAIN_CHARS = {0: 2500, 1: 1500}, 20_000
@@ -182,6 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def scored(docs: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and ``score`` for every row, whole texts."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logit = held.value.scorer()

@@ -8,6 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -476,3 +477,34 @@ def test_pipeline_stages_act_on_their_own_input(spark):
     assert set(ids["mixing"]) <= set(ids["near_dedup"]) and ids["mixing"].value_counts().max() <= 2
     check_lengths = seen["packing"].groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0]
     assert check_lengths <= packing.SEQUENCE and set(ids["packing"]) == set(ids["mixing"])
+
+
+def test_arrow_batches_end_by_bytes_and_plain_texts_need_no_slow_tokenizer(spark):
+    """A batch of long texts ends at ``BATCH_BYTES``; a smaller limit set before stays; added tokens are the library's."""
+    from cellpulse.llm import _common
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(setting)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    try:
+        spark.conf.set(setting, "64m")
+        table(spark, SF, "documents")
+        long = spark.range(0, 300, 1, 1).select("id", F.repeat(F.lit("abcdefghij"), 10_000).alias("text"))
+        got = long.mapInArrow(sizes, "n long, size long").collect()
+        assert sum(r["n"] for r in got) == 300 and max(r["size"] for r in got) < 2 * _common.BATCH_BYTES
+        spark.conf.set(setting, "1m")
+        _common.small_batches(spark)
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.set(setting, old)
+    encoder = packing.Encoder()
+    encoder.ids("plain text, <|endoftext|> and more")
+    assert "slow" not in vars(encoder)
+    assert packing.added_tokens(encoder.path)
+    assert {t["content"]: t["id"] for t in packing.added_tokens(encoder.path)} == {
+        t.content: i for i, t in encoder.slow.get_added_tokens_decoder().items()}
+    for text in ("plain text, <|endoftext|> and more", "日本語 <|endoftext|>", ""):
+        assert encoder.ids(text).tolist() == encoder.slow.encode(text, add_special_tokens=False).ids
