@@ -39,19 +39,25 @@ STEPS, WARM_STEPS, RATE, DECAY = 160, 40, 0.05, 1e-6
 THRESHOLD = 0.3
 #: Longer tokens are read in pieces of this many characters; a task's word cache is emptied beyond this size.
 PIECE, CACHE_WORDS = 40, 300_000
+#: Texts whose words are looked up together have about so many characters.
+PART_CHARS = 1 << 18
 _EDGES = re.compile(r"^\W+|\W+$")
 
 
 def tokens(text: str) -> list[str]:
     words = text.lower().split()
-    if any(len(w) > PIECE for w in words):
+    if max(map(len, words), default=0) > PIECE:
         words = [w[i:i + PIECE] for w in words for i in range(0, len(w), PIECE)]
     return words
 
 
+def marked(token: str) -> str:
+    return "<" + (_EDGES.sub("", token) or token) + ">"
+
+
 def buckets(token: str) -> list[int]:
     """The hashed n-grams of a token, and the word itself."""
-    word = "<" + (_EDGES.sub("", token) or token) + ">"
+    word = marked(token)
     crc, mask = zlib.crc32, BUCKETS - 1
     out = [crc(word.encode()) & mask]
     for n in GRAMS:
@@ -59,6 +65,52 @@ def buckets(token: str) -> list[int]:
     return out
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1)
+    return table
+
+
+_CRC, _ONES = _crc_table(), np.uint32(0xFFFFFFFF)
+
+
+def all_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`buckets` of every word one after another, and how many each word has.
+
+    The CRC of all n-grams of one length is carried on by a character to those of the next length."""
+    if not words:
+        return np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64)
+    inner = [marked(w) for w in words]
+    text = "".join(inner)
+    raw = np.frombuffer(text.encode(), dtype=np.uint8)
+    width = np.diff(np.flatnonzero((raw & 0xC0) != 0x80), append=len(raw))  # bytes a character
+    at = np.cumsum(width) - width
+    lengths = np.fromiter(map(len, inner), dtype=np.int64, count=len(inner))
+    first = np.cumsum(lengths) - lengths
+    counts = {n: np.maximum(0, lengths - n + 1) for n in GRAMS}
+    sizes = 1 + sum(counts.values())
+    place = np.cumsum(sizes) - sizes
+    out, mask = np.empty(int(sizes.sum()), dtype=np.int32), np.uint32(BUCKETS - 1)
+    out[place] = np.fromiter((zlib.crc32(w.encode()) & (BUCKETS - 1) for w in inner), dtype=np.int32, count=len(inner))
+    place += 1
+    state = np.full(len(width), _ONES)
+    for n in range(1, max(GRAMS) + 1):
+        state = state[:len(width) - n + 1]
+        wide, start = width[n - 1:], at[n - 1:]
+        state = _CRC[(state ^ raw[start]) & 255] ^ (state >> 8)
+        for byte in range(1, int(wide.max(initial=1))):
+            more = np.flatnonzero(wide > byte)
+            part = state[more]
+            state[more] = _CRC[(part ^ raw[start[more] + byte]) & 255] ^ (part >> 8)
+        if n in counts:
+            c = counts[n]
+            step = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
+            out[np.repeat(place, c) + step] = (state[np.repeat(first, c) + step] ^ _ONES) & mask
+            place += c
+    return out, sizes
+
+
 def windows(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the windows over ``n`` words: every word lies in one."""
     if n <= WINDOW:
@@ -79,27 +131,32 @@ class Model:
         self.table, self.bias = table, bias
 
     def scorer(self):
-        table, cache = self.table.tolist(), {}
+        """Logits of a list of texts; the words that the cache lacks are hashed together."""
+        cache: dict[str, float] = {}
 
-        def word(token: str) -> float:
-            ids = buckets(token)
-            value = sum(map(table.__getitem__, ids)) / len(ids)
-            if len(cache) >= CACHE_WORDS:
+        def learn(words: set[str]) -> None:
+            new = [w for w in words if w not in cache]
+            if len(cache) + len(new) > CACHE_WORDS:
                 cache.clear()
-            cache[token] = value
-            return value
+                new = list(words)
+            ids, sizes = all_buckets(new)
+            if new:  # long doubles hold these sums of single floats whole
+                sums = np.add.reduceat(self.table[ids].astype(np.longdouble), np.cumsum(sizes) - sizes)
+                cache.update(zip(new, (sums.astype(np.float64) / sizes).tolist()))
 
-        def logit(text: str) -> float:
-            words = tokens(text)
+        def logit(words: list[str]) -> float:
             if not words:
                 return self.bias
-            get = cache.get
-            values = [word(w) if (v := get(w)) is None else v for w in words]
-            total = np.concatenate([[0.0], np.cumsum(values)])
+            total = np.concatenate([[0.0], np.cumsum(list(map(cache.__getitem__, words)))])
             a, b = windows(len(words))
             return self.bias + float(((total[b] - total[a]) / (b - a)).max())
 
-        return logit
+        def logits(texts: list[str]) -> list[float]:
+            split = [tokens(t) for t in texts]
+            learn(set().union(*split))
+            return [logit(words) for words in split]
+
+        return lambda texts: logits([texts])[0] if isinstance(texts, str) else logits(texts)
 
 
 def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
@@ -110,10 +167,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model:
         return Model(np.zeros(BUCKETS, dtype=np.float32), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     vocab: dict[str, int] = {}
     docs = [np.fromiter((vocab.setdefault(w, len(vocab)) for w in tokens(t)), dtype=np.int32) for t in texts]
-    grams = [buckets(w) for w in vocab]
-    sizes = np.fromiter(map(len, grams), dtype=np.int64)
-    flat = np.fromiter((g for ids in grams for g in ids), dtype=np.int32)
-    del grams
+    flat, sizes = all_buckets(list(vocab))
     begins, per_word = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     flow = np.concatenate(docs)
     first = np.cumsum([0, *map(len, docs)])
@@ -181,15 +235,29 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train([r["text"] for r in rows], [r["toxic"] for r in rows])
 
 
+def parts(texts: list[str]) -> Iterator[list[str]]:
+    """Neighbouring texts of about ``PART_CHARS`` characters together; a longer text comes alone."""
+    part, size = [], 0
+    for text in texts:
+        if part and size + len(text) > PART_CHARS:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += len(text)
+    if part:
+        yield part
+
+
 def scored(docs: DataFrame, model: Model, text_col: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and ``score`` for every row, whole texts."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logit = held.value.scorer()
+        logits = held.value.scorer()
         for batch in batches:
-            z = np.array([logit(t or "") for t in batch.column(len(keep)).to_pylist()], dtype=np.float64)
+            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
+            z = np.array([v for part in parts(texts) for v in logits(part)], dtype=np.float64)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(keep))),
                                               pa.array(1 / (1 + np.exp(-np.clip(z, -60, 60))))],
                                              names=[f"c{i}" for i in range(len(keep))] + ["score"])

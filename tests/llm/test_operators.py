@@ -243,6 +243,21 @@ def test_toxicity_shares_subwords_with_misspellings():
     assert logit("horrrid idiott") > logit("calmm parkk")
 
 
+def test_toxicity_hashes_words_together():
+    words = ["", "a", "ab", "--x--", "misspeling", "été", "日本語テキスト", "a😀b", "x" * 40] + [f"w{i}é" for i in range(50)]
+    ids, sizes = toxicity.all_buckets(words)
+    assert [i for w in words for i in toxicity.buckets(w)] == ids.tolist()
+    assert [len(toxicity.buckets(w)) for w in words] == sizes.tolist()
+    rng = np.random.default_rng(1)
+    model = toxicity.Model(rng.normal(size=toxicity.BUCKETS).astype(np.float32), -0.5)
+    texts = ["", " ".join(words), "one two " * 40, LONG[:20_000]]
+    values = [[model.table[toxicity.buckets(w)].astype(float).mean() for w in toxicity.tokens(t)] for t in texts]
+    want = [-0.5 + max((np.mean(v[a:b]) for a, b in zip(*toxicity.windows(len(v)))), default=0) if v else -0.5 for v in values]
+    logits = model.scorer()
+    assert np.allclose([x for part in toxicity.parts(texts) for x in logits(part)], want, atol=1e-9)
+    assert [t for part in toxicity.parts(texts * 30) for t in part] == texts * 30
+
+
 def test_toxicity_edges(spark):
     docs = make(spark, EDGES)
     labels = spark.createDataFrame([(i, i % 2) for i in range(12)] + [(None, 1), (3, None)], "doc_id long, toxic int")
