@@ -5,6 +5,8 @@ import pytest
 from cellpulse import config
 from cellpulse.operators import evaluate as ev
 from cellpulse.operators.survival import concordance_index, event_errors
+from cellpulse.plans import q_evaluate, q_models
+from cellpulse.plans.pipeline import Pipeline
 
 SCORES = "y int, p double, base double"
 
@@ -56,3 +58,16 @@ def test_concordance_with_missing_risks(spark, n):
         assert got.concordance_index == pytest.approx(points / len(pairs))
     else:
         assert got.concordance_index is None
+
+
+def test_baselines_read_a_narrow_stored_table(spark):
+    """The side of a cell rides on its context; the rows are those of the cycle features joined with the split."""
+    p = Pipeline(spark, "/root/testdata/sf0.001")
+    q_models.backtest_baseline_rows(p).collect()
+    assert "release_cycles" not in p.__dict__
+    columns = ["cycle_count", "soh_current", "capacity_fade_rate", "remaining_cycles", "is_train"]
+    assert p.release_health.columns == columns
+    want = p.cycle_features.join(q_evaluate.release_split(p), "cell_id")
+    for got, names in ((p.release_health, columns), (p.release_cycles, p.release_cycles.columns)):
+        assert got.count() > 0 and sorted(got.collect(), key=repr) == sorted(want.select(*names).collect(), key=repr)
+    assert Pipeline.release_health.func(p).columns == columns  # now of the wider table
